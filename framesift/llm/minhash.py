@@ -15,7 +15,8 @@ from framesift.llm.wordsets import mixed, shingle_sets
 
 ROWS, BANDS = 4, 32  # 128 minima; two sets of similarity 0.75 miss each other with probability (1 - 0.75^4)^32 = 5e-6
 SIMILAR = (75, 100)  # intersection/union of the shingle sets
-LEAST_EQUAL = 66  # of 128 minima; at similarity 0.75 fewer are equal with probability under 1e-9
+LEAST_EQUAL = 75  # of 128 minima; at similarity 0.75 fewer are equal with probability under 1e-5
+BLOCK = 512  # members of a bucket compared with as many at once
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -23,6 +24,16 @@ def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
+def band_keys(sigs: np.ndarray) -> np.ndarray:
+    """The bucket of each signature in each band."""
+    salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    parts = sigs.reshape(len(sigs), BANDS, ROWS).astype(np.uint64)
+    h = np.broadcast_to(salt, parts.shape[:2])
+    for k in range(ROWS):
+        h = mixed(h ^ parts[:, :, k])
+    return h
+
+
 def signatures(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) to (doc_id, n_shingles, set_key, sig, bands): a row for each row.
 
@@ -34,7 +45,6 @@ def signatures(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (x[:, None] for x in coefficients)
-        salt = (np.arange(bands, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
         for batch in batches:
             n, keys, sigs, buckets = [], [], [], []
             for x in shingle_sets(batch.column(1)):
@@ -50,11 +60,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     h += b
                     np.minimum(sig, h.min(axis=1), out=sig)
                 sigs.append(sig.tobytes())
-                parts = sig.reshape(bands, rows).astype(np.uint64)
-                h = salt.copy()
-                for k in range(rows):
-                    h = mixed(h ^ parts[:, k])
-                buckets.append(h.view(np.int64))
+                buckets.append(band_keys(sig[None])[0].view(np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))], schema=out)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
@@ -97,6 +103,93 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of rows with equal (bucket, i, j), of batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if held and (k or last != tuple(keys[x])):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(x, y - x))
+            last = tuple(keys[x])
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> DataFrame:
+    """Of placed(bucket, i, j, own, band, a, c): the rows with a similar signature in another component.
+
+    With docs: links (a, b) instead, as few as connect what similar sets connect in each group.
+    """
+    least, (num, den) = LEAST_EQUAL, SIMILAR
+    names = ["bucket", "i", "j", "own", "band", "a", "c"]
+    x, confirm = placed.join(sigs, "a"), docs is not None
+    if confirm:
+        x = x.join(docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string")), "a")
+    x = x.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g in _groups(batches):
+            n = g.num_rows
+            s = np.frombuffer(b"".join(g.column(7).to_pylist()), dtype=np.uint32).reshape(n, -1)
+            a, c, own = (g.column(k).to_numpy() for k in (5, 6, 3))
+            band, two = int(g.column(4)[0].as_py()), g.column(1)[0].as_py() != g.column(2)[0].as_py()
+            fresh = c[:, None] < c[None, :]
+            if two:
+                fresh &= own[:, None] != own[None, :]
+            if not fresh.any():
+                continue
+            keys = band_keys(s)
+            for k in range(band):  # a pair is compared in its first bucket
+                fresh &= keys[:, k, None] != keys[None, :, k]
+            one, other = np.nonzero(fresh)
+            close = [(s[one[k : k + 65536]] == s[other[k : k + 65536]]).sum(axis=1) >= least for k in range(0, len(one), 65536)]
+            close = np.concatenate(close) if close else np.zeros(0, bool)
+            one, other = one[close], other[close]
+            if not len(one):
+                continue
+            if not confirm:
+                yield from g.take(np.union1d(one, other)).select(names).to_batches()
+                continue
+            used = np.union1d(one, other)
+            sets = dict(zip(used.tolist(), shingle_sets(g.column(8).take(used)), strict=True))
+            codes = np.unique(np.concatenate(list(sets.values())), return_inverse=True)[1]
+            sizes = np.array([len(x) for x in sets.values()])
+            codes = dict(zip(sets, np.split(codes, np.cumsum(sizes)[:-1]), strict=True))
+            has = np.zeros(int(sizes.sum()), dtype=bool)
+            lead = {v: v for v in c.tolist()}
+
+            def top(v: int, lead: dict = lead) -> int:
+                while lead[v] != v:
+                    lead[v] = v = lead[lead[v]]
+                return v
+
+            links = []
+            for p, q in zip(np.unique(one).tolist(), np.split(other, np.flatnonzero(one[1:] != one[:-1]) + 1), strict=True):
+                q = q.tolist()
+                has[codes[p]] = True
+                lengths = np.array([len(codes[k]) for k in q])
+                both = np.add.reduceat(has[np.concatenate([codes[k] for k in q])], np.concatenate(([0], np.cumsum(lengths)[:-1])), dtype=np.int64)
+                has[codes[p]] = False
+                for k in np.flatnonzero(den * both >= num * (len(codes[p]) + lengths - both)).tolist():
+                    u, v = top(int(c[p])), top(int(c[q[k]]))
+                    if u != v:
+                        lead[max(u, v)] = min(u, v)
+                        links.append((int(a[p]), int(a[q[k]])))
+            if links:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["a", "b"])
+
+    if not confirm:
+        return x.select(*names, "sig").mapInArrow(run, "bucket long, i int, j int, own int, band int, a long, c long")
+    return x.select(*names, "sig", "text").mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) to (doc_id, n_shingles, component_id, kept), a row for each row.
 
@@ -107,9 +200,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     1. Equal sets become one class, led by its smallest doc_id: an aggregation, whatever the number of copies.
     2. In each bucket of each band, members are compared with its smallest one only: as many pairs as members.
-    3. Components so far. Where a bucket's members are in different ones, those outside its leading component are
-       compared with the members of other components, so that no link is lost; members of one component are not
-       paired, as their links add nothing.
+    3. Components so far. Where a bucket's members are in different ones, members of different components are compared,
+       so that no link is lost: in blocks of BLOCK by BLOCK inside a task, each pair in the first bucket that both share.
+       A task puts out no pairs, only members that have a similar signature there, and then at most one link a member.
     Pairs are tested by signature, then confirmed on whole sets.
     """
     sigs = written(signatures(docs), "minhash")
@@ -118,25 +211,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = rows.where("set_key is not null").join(classes, "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     same = written(same, "minhash-classes")
     reps = written(rows.where("set_key is not null").join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_key"]).select("doc_id", "n_shingles", "sig", "bands"), "minhash-reps")
-    members = reps.select(F.explode("bands").alias("bucket"), F.col("doc_id").alias("a"))
+    members = reps.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("a"))
     first = members.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("bucket", "b")
     buckets = written(members.join(first, "bucket"), "minhash-buckets")
     star = buckets.where("a > b").select("a", "b").distinct()
     links = written(_confirmed(written(_alike(star, reps), "minhash-alike"), docs), "minhash-links")
     found = written(connected_components(links), "minhash-found")
 
-    placed = buckets.join(found.withColumnRenamed("node", "a"), "a", "left").select("bucket", "a", F.coalesce("component", "a").alias("c"))
-    mixed_up = placed.groupBy("bucket").agg(F.min("c").alias("lead"), F.max("c").alias("other")).where("lead < other").select("bucket", "lead")
-    placed = written(placed.join(mixed_up, "bucket"), "minhash-placed")
-    rest = placed.where("c > lead").select("bucket", F.col("a").alias("r"), F.col("c").alias("rc"))
-    more = rest.join(placed, "bucket").where("rc > c").select(F.greatest("r", "a").alias("a"), F.least("r", "a").alias("b")).distinct()
-    more = more.join(written(star, "minhash-star"), ["a", "b"], "left_anti")
-    links2 = _confirmed(written(_alike(more, reps), "minhash-alike"), docs)
-    links2 = written(links2, "minhash-links")
+    placed = buckets.join(found.withColumnRenamed("node", "a"), "a", "left").select("bucket", "band", "a", F.coalesce("component", "a").alias("c"))
+    mixed_up = placed.groupBy("bucket").agg(F.min("c").alias("lead"), F.max("c").alias("other"), F.count("*").alias("n")).where("lead < other")
+    n = (F.floor((F.col("n") - 1) / BLOCK) + 1).cast("int")
+    placed = placed.join(mixed_up.select("bucket", n.alias("blocks")), "bucket").withColumn("own", F.expr("cast(pmod(xxhash64(a), blocks) as int)"))
+    placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    placed = placed.select("bucket", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "band", "a", "c")
+    placed = written(placed, "minhash-placed")
+    near = written(_between(placed, reps.select(F.col("doc_id").alias("a"), "sig"), None), "minhash-near")
+    links2 = written(_between(near, reps.select(F.col("doc_id").alias("a"), "sig"), docs), "minhash-links")
 
     edges = same.where("a > b").unionByName(links).unionByName(links2)
     comps = connected_components(edges)
-    drop_written(buckets, placed)
+    drop_written(buckets)
     return (
         sigs.select("doc_id", "n_shingles")
         .join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")
