@@ -16,7 +16,7 @@ from framesift.llm.wordsets import mixed, shingle_sets
 ROWS, BANDS = 4, 32  # 128 minima; two sets of similarity 0.75 miss each other with probability (1 - 0.75^4)^32 = 5e-6
 SIMILAR = (75, 100)  # intersection/union of the shingle sets
 LEAST_EQUAL = 75  # of 128 minima; at similarity 0.75 fewer are equal with probability under 1e-5
-BLOCK = 512  # members of a bucket compared with as many at once
+BLOCK = 2048  # members of a bucket compared with as many at once
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
