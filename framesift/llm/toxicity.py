@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.common import kept_in_process, table
 
-TRAIN_DOCS = 12_000  # at most so many labelled documents are learned from
+TRAIN_DOCS = 8_000  # at most so many labelled documents are learned from
 FEATURES = 6_000  # at most so many weights
 THRESHOLD = 0.3
 SENTENCE = r"[^.!?\n。！？]+[.!?\n。！？]*|[.!?\n。！？]+"
@@ -121,11 +121,12 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> dict:
     """A model from the labelled documents that are not held out: those with the smallest hashes of their ids, at most
-    most_docs. Null texts count as empty; null labels and ids are left out; a document with several labels has the largest."""
+    most_docs, so that only ids are sorted and at most that many texts are fetched. Null texts count as empty; null labels and ids are left out; a document with several labels has the largest."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    x = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
-    x = x.where(~held_out()).join(labels, "doc_id").withColumn("h", F.xxhash64("doc_id"))
-    got = x.orderBy("h", "doc_id", "text").limit(most_docs).select("text", "toxic").collect()
+    labels = labels.where(~held_out()).join(docs.select("doc_id"), "doc_id", "left_semi")
+    chosen = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most_docs).select("doc_id", "toxic")
+    x = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    got = x.select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).select("text", "toxic").collect()
     return learn([r[0] for r in got], [int(r[1]) for r in got])
 
 
