@@ -126,8 +126,8 @@ def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> di
     labels = labels.where(~held_out()).join(docs.select("doc_id"), "doc_id", "left_semi")
     chosen = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most_docs).select("doc_id", "toxic")
     x = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = x.select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).select("text", "toxic").collect()
-    return learn([r[0] for r in got], [int(r[1]) for r in got])
+    got = sorted(x.select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).collect())
+    return learn([r[1] for r in got], [int(r[2]) for r in got])
 
 
 def held_out():
