@@ -4,14 +4,14 @@ The ids of documents, in ascending doc_id order, are cut into blocks of BLOCK id
 models and can be read alone. For each id, order-2 and order-1 contexts (the last two ids, the last one) each predict
 the id that followed last time, with a confidence. The pair of confidences selects a mixture: adaptive frequencies of
 "order 2 is right", "order 1 is right", "neither". In the last case the id follows under the order-0 model: adaptive
-frequencies of its high part, its low part uniform. A carry-less range coder with 64-bit state and 16-bit digits
-encodes the decisions. Blocks do not depend on each other, so that numpy codes all blocks of a segment in step, one id
+frequencies of its high part; its low part, taken as uniform, is stored as it is. A carry-less range coder with 64-bit
+state and 16-bit digits encodes the decisions. Blocks do not depend on each other, so that numpy codes all blocks of a segment in step, one id
 of each at a time.
 
 A segment, as bytes (numbers little-endian): MAGIC; uint32 number of documents, of blocks; uint32 block length; uint32
 bits of the low part; then per document int64 doc_id, uint8 (1: doc_id is null), uint32 number of ids; then per block
-uint32 number of ids, uint32 crc32 of its ids (uint32 each), uint32 number of digits; uint32 crc32 of all before it;
-then the digits (uint16) of the blocks in order.
+uint32 number of ids, uint32 crc32 of its ids (uint32 each), uint32 bytes of its code; uint32 crc32 of all before it;
+then the codes of the blocks in order: uint32 number of digits, the digits (uint16), the low parts (1, 2 or 4 bytes).
 """
 
 from __future__ import annotations
@@ -27,48 +27,69 @@ from pyspark.sql import functions as F
 from framesift.llm.common import kept_in_process, partitions_for, table, written
 from framesift.llm.tokenids import Encoder, vocabulary
 
-MAGIC = b"FSTOK1\0\0"
+MAGIC = b"FSTOK2\0\0"
 BLOCK = 4096
-SEGMENT = 6_000_000  # ids after which a segment ends: what a task holds and codes at once
-HASH_BITS = 11
+SEGMENT = 9_000_000  # ids after which a segment ends: what a task holds and codes at once
+HASH_BITS = 9
 HIGH = 256  # high parts of ids
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_16, _48, _LOW32 = np.uint64(16), np.uint64(48), np.uint64(0xFFFFFFFF)
+_16, _24, _48, _LOW32 = np.uint64(16), np.uint64(24), np.uint64(48), np.uint64(0xFFFFFFFF)
+_ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
+# the two probabilities of a mixture, of 4096, move by 1/32 to these, by what was right
+_GOAL = np.array([[4032, 32], [32, 4032], [32, 32]], dtype=np.int32)
 
 
 class Models:
     """The models of n blocks, side by side."""
 
-    def __init__(self, n: int, top: np.ndarray):
-        """top: of each block, the number of high parts in use."""
-        self.at = np.arange(n, dtype=np.int64)
-        self.table = self.at << HASH_BITS
-        # a cell: predicted id + 1, shifted by 2, and its confidence 0 to 3
-        self.cells2, self.cells1 = (np.zeros(n << HASH_BITS, dtype=np.uint32) for _ in range(2))
-        self.mix = np.tile(np.array([8, 8, 16], dtype=np.uint64), (n * 16, 1))
-        self.counts = (np.arange(HIGH)[None, :] < top[:, None]).astype(np.uint64)
-        self.sums = np.zeros((n, HIGH + 1), dtype=np.uint64)
+    def __init__(self, n: int):
+        at = np.arange(n, dtype=np.int64)
+        self.base = np.stack([at << HASH_BITS, (n + at) << HASH_BITS])
+        self.rows = at << 4
+        # a cell: predicted id + 1, shifted by 2, and its confidence 0 to 3; first those of order 2
+        self.cells = np.zeros(2 * n << HASH_BITS, dtype=np.uint32)
+        self.mix = np.full(n * 16, 1024 | 1024 << 16, dtype=np.uint32)
+        self.counts = np.ones((n, HIGH), dtype=np.uint32)
+        self.sums = np.zeros((n, HIGH + 1), dtype=np.uint32)
+        self.flat = self.sums.reshape(-1)
+        self.of_sums = at * (HIGH + 1)
         self.last, self.before = (np.zeros(n, dtype=np.uint32) for _ in range(2))
 
+    @staticmethod
+    def due(t: int) -> bool:
+        """Whether order 0 is counted anew before id t: often at first."""
+        return t % 128 == 0 or t in (8, 16, 32, 64)
+
     def rebuild(self, k: int) -> None:
-        np.cumsum(self.counts[:k], axis=1, out=self.sums[:k, 1:])
+        """Frequencies of the high parts, at least 1, of 4096."""
+        c = np.cumsum(self.counts[:k], axis=1, dtype=np.float64)
+        self.sums[:k, 1:] = (c * ((4096 - HIGH) / c[:, -1:])).astype(np.uint32)
+        self.sums[:k, HIGH] = 4096 - HIGH
+        self.sums[:k] += np.arange(HIGH + 1, dtype=np.uint32)
 
     def predict(self, k: int):
-        """For the first k blocks: cells of both orders and what they hold, the row of the mixture, its frequencies."""
-        p, q = self.last[:k], self.before[:k]
-        h = p * np.uint32(0x9E3779B1)
-        i1 = self.table[:k] + (h >> np.uint32(32 - HASH_BITS))
-        i2 = self.table[:k] + (((h ^ q) * np.uint32(0x85EBCA77)) >> np.uint32(32 - HASH_BITS))
-        c1, c2 = self.cells1[i1], self.cells2[i2]
-        row = (self.at[:k] << 4) + (((c2 & np.uint32(3)) << np.uint32(2)) | (c1 & np.uint32(3)))
-        return i1, i2, c1, c2, row, self.mix[row]
+        """Of the first k blocks: places and contents of the cells of both orders, the mixture's row, its probabilities."""
+        h = self.last[:k] * np.uint32(0x9E3779B1)
+        cells = np.empty((2, k), dtype=np.uint32)
+        np.multiply(h ^ self.before[:k], np.uint32(0x85EBCA77), out=cells[0])
+        cells[1] = h
+        cells >>= np.uint32(32 - HASH_BITS)
+        i = self.base[:, :k] + cells
+        c = self.cells[i]
+        sure = c & _THREE
+        row = self.rows[:k] + ((sure[0] << _TWO) | sure[1])
+        p = self.mix[row]
+        return i, c, sure, row, p & np.uint32(0xFFFF), p >> _16.astype(np.uint32)
 
     def learn(self, k: int, x: np.ndarray, kind: np.ndarray, seen) -> None:
-        i1, i2, c1, c2, row, f = seen
-        want = (x + np.uint32(1)) << np.uint32(2)
-        self.cells2[i2] = np.where(c2 >> np.uint32(2) == x + np.uint32(1), want | np.minimum((c2 & np.uint32(3)) + np.uint32(1), np.uint32(3)), want | np.uint32(1))
-        self.cells1[i1] = np.where(c1 >> np.uint32(2) == x + np.uint32(1), want | np.minimum((c1 & np.uint32(3)) + np.uint32(1), np.uint32(3)), want | np.uint32(1))
-        self.mix[row, kind] += np.uint64(12)
+        i, c, sure, row, p0, p1 = seen
+        want = x + _ONE
+        self.cells[i] = (want << _TWO) | np.where(c >> _TWO == want, np.minimum(sure + _ONE, _THREE), _ONE)
+        goal = _GOAL[kind]
+        p0, p1 = p0.astype(np.int32), p1.astype(np.int32)
+        p0 += (goal[:, 0] - p0) >> 5
+        p1 += (goal[:, 1] - p1) >> 5
+        self.mix[row] = p0 | p1 << 16
         self.before[:k] = self.last[:k]
         self.last[:k] = x
 
@@ -76,126 +97,146 @@ class Models:
 def _renewed(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Where a digit is due; sizes that got too small at a digit's edge are cut to it."""
     settled = (low ^ (low + size)) < _TOP
-    small = (size < _BOT) & ~settled
-    if small.any():
-        j = np.flatnonzero(small)
-        size[j] = (np.uint64(0) - low[j]) & _LOW32
-    return np.flatnonzero(settled | small)
-
-
-def encode_blocks(blocks: list[np.ndarray], low_bits: int) -> list[np.ndarray]:
-    """The digits of each block; the blocks' lengths must not increase."""
+    due = settled | (size < _BOT)
+    j = np.flatnonzero(due)
+    cut = j[~settled[j]]
+    if len(cut):
+        size[cut] = (np.uint64(0) - low[cut]) & _LOW32
+    return j
+
+
+def _interval(p0, p1, kind, e, a, freq):
+    """Start and length, of 2^24, of what happened: order 2 right, order 1 right, or a high part (for the blocks e)."""
+    start = np.where(kind == 0, np.uint32(0), p0 << np.uint32(12))
+    length = np.where(kind == 0, p0, p1) << np.uint32(12)
+    if len(e):
+        both = p0[e] + p1[e]
+        rest = np.uint32(4096) - both
+        start[e] = (both << np.uint32(12)) + rest * a
+        length[e] = rest * freq
+    return start, length
+
+
+def encode_blocks(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
+    """The code of each block: uint32 number of digits, the digits, the low parts; the blocks' lengths must not increase."""
     n, longest = len(blocks), max((len(b) for b in blocks), default=0)
     lengths = np.array([len(b) for b in blocks], dtype=np.int64)
     ids = np.zeros((longest, n), dtype=np.uint32)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
-    bits, mask = np.uint64(low_bits), np.uint64((1 << low_bits) - 1)
-    m = Models(n, np.array([(int(b.max()) >> low_bits) + 1 if len(b) else 1 for b in blocks]))
+    bits = np.uint32(low_bits)
+    m = Models(n)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    out, pos = np.zeros((n, 4 * longest + 8), dtype=np.uint16), np.zeros(n, dtype=np.int64)
-
-    def put(at, start, freq, total):
-        lo, sz = low[at], size[at]
-        r = sz // total
-        lo = lo + r * start
-        sz = r * freq
-        where = np.arange(at.stop) if isinstance(at, slice) else at
-        while len(j := _renewed(lo, sz)):
-            w = where[j]
-            out[w, pos[w]] = lo[j] >> _48
-            pos[w] += 1
-            lo[j] <<= _16
-            sz[j] <<= _16
-        low[at], size[at] = lo, sz
-
+    width = 4 * longest + 8
+    out, pos = np.zeros(n * width, dtype=np.uint16), np.arange(n, dtype=np.int64) * width
+    kinds = np.zeros((longest, n), dtype=np.uint8)
     for t in range(longest):
         k = int(np.searchsorted(-lengths, -t, side="left"))  # blocks that have an id t
-        if t % 32 == 0:
+        if m.due(t):
             m.rebuild(k)
         x = ids[t, :k]
         seen = m.predict(k)
-        f, want = seen[5], x + np.uint32(1)
-        kind = np.where(seen[3] >> np.uint32(2) == want, 0, np.where(seen[2] >> np.uint32(2) == want, 1, 2))
-        f0, f1, f2 = f[:, 0], f[:, 1], f[:, 2]
-        put(slice(0, k), np.where(kind == 0, np.uint64(0), np.where(kind == 1, f0, f0 + f1)), np.where(kind == 0, f0, np.where(kind == 1, f1, f2)), f0 + f1 + f2)
+        right = seen[1] >> _TWO == x + _ONE
+        kind = np.where(right[0], 0, np.where(right[1], 1, 2))
+        kinds[t, :k] = kind
         e = np.flatnonzero(kind == 2)
-        if len(e):
-            y = x[e].astype(np.uint64)
-            high = (y >> bits).astype(np.int64)
-            a = m.sums[e, high]
-            freq = m.sums[e, high + 1] - a
-            put(e, (a << bits) + (y & mask) * freq, freq, m.sums[e, HIGH] << bits)
-            m.counts[e, high] += np.uint64(24)
+        high = (x[e] >> bits).astype(np.int64)
+        place = m.of_sums[e] + high
+        a = m.flat[place]
+        start, length = _interval(seen[4], seen[5], kind, e, a, m.flat[place + 1] - a)
+        m.counts[e, high] += np.uint32(24)
         m.learn(k, x, kind, seen)
+        lo, sz = low[:k], size[:k]
+        sz >>= _24
+        lo += sz * start
+        sz *= length
+        j = _renewed(lo, sz)
+        while len(j):
+            l, s = lo[j], sz[j]
+            out[pos[j]] = l >> _48
+            pos[j] += 1
+            l <<= _16
+            s <<= _16
+            again = _renewed(l, s)
+            lo[j], sz[j] = l, s
+            j = j[again]
     for _ in range(4):
-        out[np.arange(n), pos] = low >> _48
+        out[pos] = low >> _48
         pos += 1
         low <<= _16
-    return [out[k, : pos[k]].copy() for k in range(n)]
+    kind_of, coded = np.ascontiguousarray(kinds.T), []
+    for k, b in enumerate(blocks):
+        digits = out[k * width : pos[k]].astype("<u2").tobytes()
+        rest = (b[kind_of[k, : len(b)] == 2] & np.uint32((1 << low_bits) - 1)).astype(_low_type(low_bits)).tobytes()
+        coded.append((len(digits) // 2).to_bytes(4, "little") + digits + rest)
+    return coded
+
 
+def _low_type(low_bits: int) -> str:
+    return "u1" if low_bits <= 8 else "<u2" if low_bits <= 16 else "<u4"
 
-def decode_blocks(digits: list[np.ndarray], lengths: list[int], tops: list[int], low_bits: int) -> list[np.ndarray]:
-    """The blocks again. tops: of each block, the number of high parts in use."""
-    n, longest = len(digits), max(lengths, default=0)
+
+def decode_blocks(coded: list[bytes], lengths: list[int], low_bits: int) -> list[np.ndarray]:
+    """The blocks again."""
+    n, longest = len(coded), max(lengths, default=0)
     count = np.array(lengths, dtype=np.int64)
-    words = np.zeros((n, max((len(d) for d in digits), default=0) + 8), dtype=np.uint16)
-    for k, d in enumerate(digits):
-        words[k, : len(d)] = d
+    sizes = [int.from_bytes(c[:4], "little") for c in coded]
+    width = max(sizes, default=0) + 8
+    words, pos = np.zeros(n * width, dtype=np.uint16), np.arange(n, dtype=np.int64) * width
+    kind_width = np.dtype(_low_type(low_bits)).itemsize
+    rests, at_rest, total = [], np.zeros(n, dtype=np.int64), 0
+    for k, (c, d) in enumerate(zip(coded, sizes, strict=True)):
+        words[k * width : k * width + d] = np.frombuffer(c, "<u2", d, 4)
+        rests.append(np.frombuffer(c, _low_type(low_bits), (len(c) - 4 - 2 * d) // kind_width, 4 + 2 * d))
+        at_rest[k], total = total, total + len(rests[-1])
+    rest = np.concatenate([*rests, np.zeros(1, _low_type(low_bits))]).astype(np.uint32)
     ids = np.zeros((longest, n), dtype=np.uint32)
-    bits = np.uint64(low_bits)
-    m = Models(n, np.array(tops))
-    low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    code = np.zeros(n, np.uint64)
-    for k in range(4):
-        code = (code << _16) | words[:, k].astype(np.uint64)
-    pos = np.full(n, 4, dtype=np.int64)
-
-    def take(at, r, start, freq):
-        lo, sz, co = low[at] + r * start, r * freq, code[at]
-        where = np.arange(at.stop) if isinstance(at, slice) else at
-        while len(j := _renewed(lo, sz)):
-            w = where[j]
-            co[j] = (co[j] << _16) | words[w, pos[w]]
-            pos[w] += 1
-            lo[j] <<= _16
-            sz[j] <<= _16
-        low[at], size[at], code[at] = lo, sz, co
-
+    bits = np.uint32(low_bits)
+    m = Models(n)
+    low, size, code = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(n, np.uint64)
+    for _ in range(4):
+        code = (code << _16) | words[pos]
+        pos += 1
+    of_table, table = np.arange(n, dtype=np.int64) << 12, np.zeros(0, np.uint8)
+    names = np.arange(HIGH, dtype=np.uint8)
     for t in range(longest):
         k = int(np.searchsorted(-count, -t, side="left"))
-        if t % 32 == 0:
+        if m.due(t):
             m.rebuild(k)
+            table = np.repeat(np.broadcast_to(names, (k, HIGH)).reshape(-1), np.diff(m.sums[:k].astype(np.int64), axis=1).reshape(-1))
         seen = m.predict(k)
-        f = seen[5]
-        f0, f1, f2 = f[:, 0], f[:, 1], f[:, 2]
-        total = f0 + f1 + f2
-        r = size[:k] // total
-        v = np.minimum((code[:k] - low[:k]) // r, total - np.uint64(1))
-        kind = (v >= f0).astype(np.int64) + (v >= f0 + f1)
-        take(slice(0, k), r, np.where(kind == 0, np.uint64(0), np.where(kind == 1, f0, f0 + f1)), np.where(kind == 0, f0, np.where(kind == 1, f1, f2)))
-        x = (np.where(kind == 0, seen[3], seen[2]) >> np.uint32(2)) - np.uint32(1)
+        p0, p1 = seen[4], seen[5]
+        lo, sz, co = low[:k], size[:k], code[:k]
+        sz >>= _24
+        v = np.minimum((co - lo) // sz, np.uint64((1 << 24) - 1)).astype(np.uint32)
+        first = p0 << np.uint32(12)
+        second = first + (p1 << np.uint32(12))
+        kind = (v >= first).astype(np.int64) + (v >= second)
         e = np.flatnonzero(kind == 2)
-        if len(e):
-            total = m.sums[e, HIGH] << bits
-            r = size[e] // total
-            v = np.minimum((code[e] - low[e]) // r, total - np.uint64(1))
-            want = v >> bits
-            high = np.zeros(len(e), dtype=np.int64)
-            step = HIGH // 2
-            while step:
-                probe = high + step
-                high = np.where(m.sums[e, probe] <= want, probe, high)
-                step //= 2
-            a = m.sums[e, high]
-            freq = m.sums[e, high + 1] - a
-            part = (v - (a << bits)) // freq
-            take(e, r, (a << bits) + part * freq, freq)
-            x[e] = ((high.astype(np.uint64) << bits) | part).astype(np.uint32)
-            m.counts[e, high] += np.uint64(24)
+        high = table[of_table[e] + (v[e] - second[e]) // (np.uint32(4096) - p0[e] - p1[e])].astype(np.int64)
+        place = m.of_sums[e] + high
+        a = m.flat[place]
+        start, length = _interval(p0, p1, kind, e, a, m.flat[place + 1] - a)
+        m.counts[e, high] += np.uint32(24)
+        x = (np.where(kind == 0, seen[1][0], seen[1][1]) >> _TWO) - _ONE
+        x[e] = (high.astype(np.uint32) << bits) | rest[at_rest[e]]
+        at_rest[e] += 1
         m.learn(k, x, kind, seen)
         ids[t, :k] = x
-    return [ids[: lengths[k], k].copy() for k in range(n)]
+        lo += sz * start
+        sz *= length
+        j = _renewed(lo, sz)
+        while len(j):
+            l, s = lo[j], sz[j]
+            co[j] = (co[j] << _16) | words[pos[j]]
+            pos[j] += 1
+            l <<= _16
+            s <<= _16
+            again = _renewed(l, s)
+            lo[j], sz[j] = l, s
+            j = j[again]
+    by_block = np.ascontiguousarray(ids.T)
+    return [by_block[k, : lengths[k]] for k in range(n)]
 
 
 def write_segment(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
@@ -203,11 +244,11 @@ def write_segment(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, i
     ids = np.ascontiguousarray(ids, dtype="<u4")
     low_bits = max(0, int(ids.max()).bit_length() - 8) if len(ids) else 0
     blocks = [ids[k : k + block] for k in range(0, len(ids), block)]
-    digits = encode_blocks(blocks, low_bits)
+    coded = encode_blocks(blocks, low_bits)
     head = [MAGIC, np.array([len(doc_ids), len(blocks), block, low_bits], "<u4").tobytes(), doc_ids.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), lengths.astype("<u4").tobytes()]
-    head += [np.array([[len(b), zlib.crc32(b.tobytes()), len(d), int(b.max()) >> low_bits] for b, d in zip(blocks, digits, strict=True)], "<u4").tobytes()]
+    head += [np.array([[len(b), zlib.crc32(b.tobytes()), len(c)] for b, c in zip(blocks, coded, strict=True)], "<u4").tobytes()]
     head = b"".join(head)
-    return b"".join([head, zlib.crc32(head).to_bytes(4, "little"), *(d.astype("<u2").tobytes() for d in digits)])
+    return b"".join([head, zlib.crc32(head).to_bytes(4, "little"), *coded])
 
 
 def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -220,13 +261,16 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     nulls = np.frombuffer(data, "u1", docs, at + 8 * docs).astype(bool)
     lengths = np.frombuffer(data, "<u4", docs, at + 9 * docs).astype(np.int64)
     at += 13 * docs
-    rows = np.frombuffer(data, "<u4", 4 * blocks, at).reshape(blocks, 4)
-    at += 16 * blocks
+    rows = np.frombuffer(data, "<u4", 3 * blocks, at).reshape(blocks, 3)
+    at += 12 * blocks
     if zlib.crc32(data[:at]) != int.from_bytes(data[at : at + 4], "little"):
         raise ValueError("the head of a segment is damaged")
-    ends = at + 4 + 2 * np.cumsum(rows[:, 2].astype(np.int64))
-    digits = [np.frombuffer(data, "<u2", int(c), int(e) - 2 * int(c)) for c, e in zip(rows[:, 2], ends, strict=True)]
-    out = decode_blocks(digits, rows[:, 0].astype(int).tolist(), (rows[:, 3].astype(int) + 1).tolist(), low_bits)
+    ends = (at + 4 + np.cumsum(rows[:, 2].astype(np.int64))).tolist()
+    coded = [data[e - c : e] for c, e in zip(rows[:, 2].tolist(), ends, strict=True)]
+    try:
+        out = decode_blocks(coded, rows[:, 0].astype(int).tolist(), low_bits)
+    except IndexError as e:  # more digits or low parts are asked for than there are
+        raise ValueError("a block is damaged") from e
     for b, row in zip(out, rows, strict=True):
         if zlib.crc32(b.astype("<u4").tobytes()) != int(row[1]):
             raise ValueError("a block is damaged")
