@@ -8,7 +8,7 @@ from framesift.functions import columns as C
 from framesift.operators import annotations as A
 from framesift.plans.registry import query
 from framesift.plans.standins import BOXES_SQL, TAGGED_SQL, boxes, table, tagged
-from framesift.sources import textformats
+from framesift.sources import payloads, textformats
 from framesift.streaming import watch
 
 _T = f"with {TAGGED_SQL}"
@@ -227,3 +227,15 @@ def box_pairing(spark, d):
 @query("stream_watch_once", "select event_type, count(*)::bigint as n from events group by 1")
 def stream_once(spark, d):
     return watch.counted_once(spark, d)
+
+
+@query("split_groups", "select doc_id, ((row_number() over (order by doc_id) - 1) // ceil(count(*) over () / 7.0)::bigint)::bigint as \"group\" from documents")
+def split_groups(spark, d):
+    return payloads.split_groups(table(spark, d, "documents").select("doc_id"), "doc_id", 7)
+
+
+@query("shape_documents")
+def shape_documents(spark, d):
+    x = boxes(spark, d).groupBy("sample_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "label", "box"))), lambda v: F.struct(v["label"].alias("label"), v["box"].alias("box"))).alias("dets"))
+    x = x.select(F.concat(F.lit("t/"), F.col("sample_id").cast("string"), F.lit(".jpg")).alias("path"), F.col("sample_id").cast("string").alias("sample_id"), F.lit(1920).alias("width"), F.lit(1080).alias("height"), "dets")
+    return payloads.shape_documents(x)

@@ -75,7 +75,7 @@ def parse_sidecar(docs: DataFrame, labels: list[str]) -> DataFrame:
     good = lambda s: (F.size(s["points"]) >= 2) & F.forall(s["points"], lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
     issue = F.when(F.col("j").isNull() | F.col("j.shapes").isNull(), "json_error").when(F.exists("j.shapes", lambda s: ~F.coalesce(s["shape_type"], F.lit("")).isin("rectangle", "polygon")), "unsupported_shape").when(F.exists(wanted, lambda s: ~F.coalesce(good(s), F.lit(False))), "bad_points")
     box = F.transform(wanted, lambda s: F.struct(s["label"].alias("label"), F.array(*[F.bround(v, 6) for v in (F.array_min(xs(s, 0)) / F.col("j.imageWidth"), F.array_min(xs(s, 1)) / F.col("j.imageHeight"), (F.array_max(xs(s, 0)) - F.array_min(xs(s, 0))) / F.col("j.imageWidth"), (F.array_max(xs(s, 1)) - F.array_min(xs(s, 1))) / F.col("j.imageHeight"))]).alias("box")))
-    claimed = F.coalesce(F.nullif(F.trim("j.sample_id"), F.lit("")), F.nullif(F.regexp_extract("j.description", r"fo_sample_id=([0-9a-fA-F]+)", 1), F.lit("")))
+    claimed = F.coalesce(F.nullif(F.trim("j.sample_id"), F.lit("")), F.nullif(F.regexp_extract("j.description", r"sample_id=([0-9a-fA-F]+)", 1), F.lit("")))
     return x.select("path", claimed.alias("sample_id"), F.col("j.imagePath").alias("image_path"), F.when(issue.isNull(), box).alias("boxes"), issue.alias("issue"))
 
 

@@ -71,7 +71,7 @@ def test_coco_and_sidecar(spark):
     doc = '{"images":[{"id":1,"file_name":"a.jpg","width":10,"height":10},{"id":2,"file_name":"b.jpg","width":10,"height":10}],"annotations":[{"image_id":1,"bbox":[1,2,3,4],"keypoints":[1,1,2]}]}'
     r = T.parse_coco(spark.createDataFrame([("p", doc)], "path string, text string")).collect()
     assert {v.file_name: v.issue for v in r} == {"a.jpg": None, "b.jpg": "no_annotation"}
-    side = '{"sample_id":" ","description":"x fo_sample_id=abc1","imagePath":"a.jpg","imageWidth":100,"imageHeight":50,"shapes":[{"label":"head","shape_type":"rectangle","points":[[10,5],[30,25]]},{"label":"z","shape_type":"polygon","points":[]}]}'
+    side = '{"sample_id":" ","description":"x sample_id=abc1","imagePath":"a.jpg","imageWidth":100,"imageHeight":50,"shapes":[{"label":"head","shape_type":"rectangle","points":[[10,5],[30,25]]},{"label":"z","shape_type":"polygon","points":[]}]}'
     r = T.parse_sidecar(spark.createDataFrame([("p", side), ("q", "nope"), ("r", side.replace("polygon", "circle"))], "path string, text string"), ["head"]).orderBy("path").collect()
     assert r[0].boxes[0].box == [0.1, 0.1, 0.2, 0.4] and r[0].sample_id == "abc1" and [v.issue for v in r] == [None, "json_error", "unsupported_shape"]
 
@@ -94,3 +94,17 @@ def test_interpolation(spark):
     f = spark.createDataFrame([(1, -1), (1, 0), (1, 5), (1, 10), (1, 99), (2, 1)], "track int, t bigint")
     r = {(v.track, v.t): (v.value, v.outside) for v in A.interpolated(f, k).collect()}
     assert r == {(1, -1): (None, True), (1, 0): (0.0, False), (1, 5): (5.0, False), (1, 10): (10.0, True), (1, 99): (10.0, True), (2, 1): (None, True)}
+
+
+def test_payloads(spark):
+    import json
+
+    from framesift.sources import payloads as P
+
+    x = spark.createDataFrame([("a/b.jpg", "id1", 100, 50, [("head", [0.1, 0.1, 0.2, 0.4])]), ("c.png", "id2", 10, 10, [])], "path string, sample_id string, width int, height int, dets array<struct<label string, box array<double>>>")
+    r = {v.target: json.loads(v.text) for v in P.shape_documents(x).collect()}
+    assert r["a/b.json"]["shapes"] == [{"label": "head", "shape_type": "rectangle", "points": [[10.0, 5.0], [30.0, 25.0]]}] and r["c.json"]["shapes"] == []
+    f = spark.createDataFrame([("b.jpg", 10, 10, [1.0, 2.0, 3.0, 4.0], [(1.0, 2.0, 2), (float("nan"), 0.0, 1)]), ("a.jpg", 10, 10, [1.0, 2.0, 3.0, 4.0], [(5.0, 6.0, 1)])], "file_name string, width int, height int, bbox array<double>, points array<struct<x double, y double, v int>>")
+    doc = json.loads(P.keypoint_document(f).first().text)
+    assert [i["file_name"] for i in doc["images"]] == ["a.jpg", "b.jpg"] and doc["annotations"][1]["keypoints"] == [1.0, 2.0, 2.0, 0.0, 0.0, 0.0] and doc["annotations"][1]["num_keypoints"] == 1
+    assert P.task_size([100, 100, 100], 250) == 2 and P.task_size([800, 100, 800], 900) == 2 and P.task_size([1] * 9, 99, 4) == 4
