@@ -121,9 +121,9 @@ def iou_partners(spark, d):
     return A.iou_partners(boxes(spark, d), 0.5).select("sample_id", "label", "idx", "partner")
 
 
-@query("coordinate_conversions", f"with {BOXES_SQL} select sample_id, idx, round_even(x * 1920, 0) as x1, round_even(y * 1080, 0) as y1, round_even((x + w) * 1920, 0) as x2, round_even((y + h) * 1080, 0) as y2 from boxes where idx % 2 = 1 and h > 0")
+@query("coordinate_conversions", f"with {BOXES_SQL} select sample_id, idx, round_even(x * 1920, 0) as x1, round_even(y * 1080, 0) as y1, round_even((x + w) * 1920, 0) as x2, round_even((y + h) * 1080, 0) as y2 from boxes")
 def conversions(spark, d):
-    x = boxes(spark, d).where("idx % 2 = 1 and box[3] > 0").withColumn("p", C.pixel_corners(F.col("box"), F.lit(1920), F.lit(1080)))
+    x = boxes(spark, d).withColumn("p", C.pixel_corners(F.col("box"), F.lit(1920), F.lit(1080)))
     return x.select("sample_id", "idx", *[F.get("p", F.lit(k)).alias(n) for k, n in enumerate(("x1", "y1", "x2", "y2"))])
 
 
@@ -156,26 +156,26 @@ def track_interpolate(spark, d):
     return A.interpolated(*_track(spark, d)).select("track", "t", F.round("value", 4).alias("value"))
 
 
-@query("pair_box_keypoint_by_instance", """with b as (select l_orderkey as s, l_partkey % 40 as i, min(l_partkey * 10 + l_linenumber) as box_id from lineitem where l_orderkey % 3 = 0 group by 1, 2), k as (select l_orderkey as s, (l_partkey + (case when l_orderkey % 9 = 0 then 1 else 0 end)) % 40 as i, min(l_suppkey * 10 + l_linenumber) as kpt_id from lineitem where l_orderkey % 3 = 0 group by 1, 2),
+@query("pair_box_keypoint_by_instance", """with b as (select l_orderkey as s, l_partkey % 40 as i, min(l_partkey * 10 + l_linenumber) as box_id from lineitem group by 1, 2), k as (select l_orderkey as s, (l_partkey + (case when l_orderkey % 9 = 0 then 1 else 0 end)) % 40 as i, min(l_suppkey * 10 + l_linenumber) as kpt_id from lineitem group by 1, 2),
 nb as (select s, count(*) n, min(box_id) o from b group by 1), nk as (select s, count(*) n, min(kpt_id) o from k group by 1), h as (select s, count(*) n from b join k using (s, i) group by 1),
 w as (select nb.s, nb.o as ob, nk.o as ok, case when nb.n = 1 and nk.n = 1 then 'single' when nb.n = nk.n and h.n = nb.n then 'instance' else 'unpaired' end as how from nb full join nk using (s) left join h on h.s = nb.s)
 select s as sample_id, how, case when how = 'single' then ob end as box_id, case when how = 'single' then ok end as kpt_id from w where how <> 'instance' union all select s, how, box_id, kpt_id from b join k using (s, i) join w using (s) where how = 'instance'""")
 def pair_instances(spark, d):
-    x = table(spark, d, "lineitem").where("l_orderkey % 3 = 0")
+    x = table(spark, d, "lineitem")
     b = x.groupBy(F.col("l_orderkey").alias("sample_id"), F.expr("l_partkey % 40").alias("instance_id")).agg(F.expr("min(l_partkey * 10 + l_linenumber)").alias("box_id"))
     k = x.groupBy(F.col("l_orderkey").alias("sample_id"), F.expr("(l_partkey + case when l_orderkey % 9 = 0 then 1 else 0 end) % 40").alias("instance_id")).agg(F.expr("min(l_suppkey * 10 + l_linenumber)").alias("kpt_id"))
     return A.pair_by_instance(b, k)
 
 
-@query("keypoint_triples", "select vec_id, len(list_filter(embedding[1:21], lambda v: v > 0))::bigint as visible, round(list_max(embedding[1:21])::double - list_min(embedding[1:21])::double, 5) as extent from embeddings")
+@query("keypoint_triples", "select vec_id, len(list_filter(embedding, lambda v: v > 0))::bigint as visible, round(list_max(embedding)::double - list_min(embedding)::double, 5) as extent from embeddings")
 def keypoint_triples(spark, d):
-    e = F.transform(F.slice("embedding", 1, 21), lambda v: v.cast("double"))
+    e = F.transform("embedding", lambda v: v.cast("double"))
     return table(spark, d, "embeddings").select("vec_id", F.size(F.filter(e, lambda v: v > 0)).cast("bigint").alias("visible"), F.round(F.array_max(e) - F.array_min(e), 5).alias("extent"))
 
 
-@query("visibility_mapping", "select vec_id, array_to_string(list_transform(embedding[1:8], lambda v: case when v < -0.5 then 0 when v < 0.5 then 1 else 2 end), ',') as flags from embeddings")
+@query("visibility_mapping", "select vec_id, array_to_string(list_transform(embedding, lambda v: case when v < -0.5 then 0 when v < 0.5 then 1 else 2 end), ',') as flags from embeddings")
 def visibility(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.array_join(F.transform(F.slice("embedding", 1, 8), lambda v: F.when(v < -0.5, "0").when(v < 0.5, "1").otherwise("2")), ",").alias("flags"))
+    return table(spark, d, "embeddings").select("vec_id", F.array_join(F.transform("embedding", lambda v: F.when(v < -0.5, "0").when(v < 0.5, "1").otherwise("2")), ",").alias("flags"))
 
 
 @query("points_moved", "select a.vec_id, len(list_filter(range(1, 65), lambda k: abs(a.embedding[k]::double - b.embedding[k]::double) > 2.0)) > 0 as moved from embeddings a join embeddings b on b.vec_id = a.vec_id + 1")
@@ -206,9 +206,9 @@ def yolo_parse(spark, d):
     return p.select("sample_id", F.col("line").cast("bigint").alias("line"), "class_id", F.round(F.get("box", F.lit(2)), 4).alias("w"), F.col("parse_error"))
 
 
-@query("coco_ids", "select l_orderkey as image, dense_rank() over (order by l_orderkey)::bigint as image_id, count(*)::bigint as annotations from lineitem where l_orderkey % 5 = 0 group by 1")
+@query("coco_ids", "select l_orderkey as image, dense_rank() over (order by l_orderkey)::bigint as image_id, count(*)::bigint as annotations from lineitem group by 1")
 def coco_ids(spark, d):
-    x = table(spark, d, "lineitem").where("l_orderkey % 5 = 0").groupBy(F.col("l_orderkey").alias("image")).agg(F.count("*").alias("annotations"))
+    x = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("image")).agg(F.count("*").alias("annotations"))
     return textformats.dense_ids(x, "image", "image_id")
 
 

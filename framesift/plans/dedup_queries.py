@@ -64,12 +64,12 @@ def report_shards(spark, d):
 
 
 def _bits(spark, d, n=64):
-    sign = " | ".join(f"if(embedding[{k}] > 0, {1 << k if k < 63 else -(1 << 63)}L, 0L)" for k in range(min(n, 63)))
+    sign = " | ".join(f"if(embedding[{k}] > 0, {1 << k}L, 0L)" if k < 63 else f"if(embedding[63] > 0, -9223372036854775807L - 1L, 0L)" for k in range(n))
     return table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.expr(sign).alias("bits"))
 
 
-def _bits_sql(n=63):
-    return "h as (select vec_id as id, " + " + ".join(f"(case when embedding[{k + 1}] > 0 then {1 << k} else 0 end)::bigint" for k in range(n)) + " as bits from embeddings)"
+def _bits_sql(n=64):
+    return "h as (select vec_id as id, " + " + ".join(f"(case when embedding[{k + 1}] > 0 then {1 << k if k < 63 else -(1 << 63)} else 0 end)::bigint" for k in range(n)) + " as bits from embeddings)"
 
 
 _PAIRS = f"{_bits_sql()}, r as (select bits, min(id) as id from h group by 1), p as (select x.id as a, y.id as b, bit_count(xor(x.bits, y.bits))::bigint as distance from r x join r y on x.id < y.id where bit_count(xor(x.bits, y.bits)) <= 17)"
@@ -90,12 +90,12 @@ def near_components_low_bits(spark, d):
     return similarity.components(similarity.hamming_pairs(_bits(spark, d, 12), 1))
 
 
-@query("content_gate", """with c as (select item_id, sha256(text) as sha, left(text, 12) as near, row_number() over (partition by sha256(text) order by item_id) as n, min(item_id) over (partition by sha256(text)) as first_id from benchmark),
-s as (select sha256(text) as sha, count(*) as hits from documents group by 1), m as (select left(text, 12) as near, min(doc_id) as doc from documents group by 1)
+@query("content_gate", """with c as (select item_id, sha256(text) as sha, length(text)::varchar as near, row_number() over (partition by sha256(text) order by item_id) as n, min(item_id) over (partition by sha256(text)) as first_id from benchmark),
+s as (select sha256(text) as sha, count(*) as hits from documents group by 1), m as (select length(text)::varchar as near, min(doc_id) as doc from documents group by 1)
 select item_id, case when n > 1 then 'batch_dup' when hits is not null then 'exact' when doc is not null then 'near' else 'new' end as status, case when n > 1 then first_id when hits is null then doc end as detail from c left join s using (sha) left join m using (near)""")
 def content_gate(spark, d):
-    c = table(spark, d, "benchmark").select(F.col("item_id").alias("path"), F.sha2("text", 256).alias("sha256"), F.substring("text", 1, 12).alias("phash"))
-    s = table(spark, d, "documents").select(F.col("doc_id").alias("sample_id"), F.sha2("text", 256).alias("sha256"), F.substring("text", 1, 12).alias("phash"))
+    c = table(spark, d, "benchmark").select(F.col("item_id").alias("path"), F.sha2("text", 256).alias("sha256"), F.length("text").cast("string").alias("phash"))
+    s = table(spark, d, "documents").select(F.col("doc_id").alias("sample_id"), F.sha2("text", 256).alias("sha256"), F.length("text").cast("string").alias("phash"))
     return matching.gate(c, s).select(F.col("path").alias("item_id"), "status", "detail")
 
 
@@ -111,7 +111,7 @@ def match_unique(spark, d):
 
 
 @query("relink_paths", """with s as (select doc_id as sample_id, '/old/' || (doc_id % 9) || '/' || (doc_id % 17) || '.jpg' as old, sha256(text) as sha from documents),
-f as (select distinct sha256(text) as sha, case when doc_id % 4 = 0 then '/old/' || (doc_id % 9) || '/' || (doc_id % 17) || '.jpg' else '/new/' || (doc_id % 17) || '.jpg' end as target from documents where doc_id % 2 = 0),
+f as (select distinct sha256(text) as sha, case when doc_id % 4 = 0 then '/old/' || (doc_id % 9) || '/' || (doc_id % 17) || '.jpg' else '/new/' || (doc_id % 17) || '.jpg' end as target from documents),
 t as (select sha, list(target order by target) as targets from f group by 1),
 m as (select sample_id, old, targets, list_filter(targets, lambda p: regexp_extract(p, '[^/]*$') = regexp_extract(old, '[^/]*$')) as same from s join t using (sha)),
 c as (select sample_id, old, case when list_contains(targets, old) then 'unchanged' when len(targets) = 1 or len(same) = 1 then 'move' else 'ambiguous_image_hash' end as what, case when len(targets) = 1 then targets[1] when len(same) = 1 then same[1] end as target from m),
@@ -120,7 +120,7 @@ select sample_id, case when what = 'move' and owners is not null then 'target_al
 def relink(spark, d):
     x = table(spark, d, "documents")
     s = x.select(F.col("doc_id").alias("sample_id"), F.expr("concat('/old/', doc_id % 9, '/', doc_id % 17, '.jpg')").alias("filepath"), F.sha2("text", 256).alias("sha256"))
-    f = x.where("doc_id % 2 = 0").select(F.sha2("text", 256).alias("sha256"), F.expr("case when doc_id % 4 = 0 then concat('/old/', doc_id % 9, '/', doc_id % 17, '.jpg') else concat('/new/', doc_id % 17, '.jpg') end").alias("target"))
+    f = x.select(F.sha2("text", 256).alias("sha256"), F.expr("case when doc_id % 4 = 0 then concat('/old/', doc_id % 9, '/', doc_id % 17, '.jpg') else concat('/new/', doc_id % 17, '.jpg') end").alias("target"))
     return matching.relink(s, f).select("sample_id", "status")
 
 
@@ -130,12 +130,12 @@ def hash_rename(spark, d):
     return matching.rename_plan(f).select("doc_id", "target")
 
 
-_STEMS = "i as (select page_id as id, 'img' || (page_id % 180) as stem from pages), l as (select doc_id as id, 'img' || doc_id as stem from documents where doc_id % 3 <> 1)"
+_STEMS = "i as (select page_id as id, 'img' || (page_id % 180) as stem from pages), l as (select doc_id as id, 'img' || doc_id * 2 as stem from documents)"
 
 
 def _stems(spark, d):
     i = table(spark, d, "pages").select(F.expr("concat('img', page_id % 180, '.jpg')").alias("path"))
-    return i, table(spark, d, "documents").where("doc_id % 3 <> 1").select(F.expr("concat('img', doc_id, '.txt')").alias("path"))
+    return i, table(spark, d, "documents").select(F.expr("concat('img', doc_id * 2, '.txt')").alias("path"))
 
 
 @query("pair_by_stem_full_outer", f"with {_STEMS}, a as (select stem, count(*) n from i group by 1), b as (select stem, count(*) m from l group by 1) select stem, case when n > 1 or m > 1 then 'path_collision' when n is null then 'missing_image' when m is null then 'missing_label' else 'pair' end as status from a full join b using (stem)")
@@ -164,13 +164,13 @@ def extract(spark, d):
 
 
 @query("attach_issue_cascade", """with f as (select page_id as path, case when page_id % 4 = 0 then page_id % 50 + (case when page_id % 8 = 0 then 100000 else 0 end) end as claimed, sha256('d' || (page_id % 90)) as sha from pages),
-s as (select doc_id as sample_id, sha256('d' || (doc_id % 80 + (case when doc_id > 100 then 1000 else 0 end))) as sha from documents where doc_id < 200), h as (select sha, count(*) n, min(sample_id) id from s group by 1),
+s as (select doc_id as sample_id, sha256('d' || (doc_id % 80 + (case when doc_id > 100 then 1000 else 0 end))) as sha from documents), h as (select sha, count(*) n, min(sample_id) id from s group by 1),
 m as (select path, claimed, c.sample_id as by_id, n, h.id as by_hash from f left join s c on c.sample_id = claimed left join h on h.sha = f.sha),
 k as (select path, case when claimed is not null and by_id is null then 'orphan_sample_id' when claimed is not null then 'match' when n is null then 'orphan' when n > 1 then 'ambiguous' else 'match' end as st, case when claimed is not null then by_id when n = 1 then by_hash end as sample_id from m)
 select path, case when st = 'match' and row_number() over (partition by st, sample_id order by path) > 1 then 'sample_id_collision' else st end as status, sample_id from k""")
 def attach(spark, d):
     f = table(spark, d, "pages").select(F.col("page_id").alias("path"), F.expr("case when page_id % 4 = 0 then page_id % 50 + case when page_id % 8 = 0 then 100000 else 0 end end").alias("claimed"), F.expr("sha2(concat('d', page_id % 90), 256)").alias("sha256"))
-    s = table(spark, d, "documents").where("doc_id < 200").select(F.col("doc_id").alias("sample_id"), F.expr("sha2(concat('d', doc_id % 80 + case when doc_id > 100 then 1000 else 0 end), 256)").alias("sha256"))
+    s = table(spark, d, "documents").select(F.col("doc_id").alias("sample_id"), F.expr("sha2(concat('d', doc_id % 80 + case when doc_id > 100 then 1000 else 0 end), 256)").alias("sha256"))
     return matching.attach(f, s)
 
 

@@ -47,10 +47,10 @@ def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users of events as samples: their event types and age tags, in order of time."""
     e = table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
     g = e.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("ts", "event_id", "event_type", "k"))).alias("s"))
-    kinds = F.transform(F.slice("s", 1, 6), lambda v: v["event_type"])
-    ages = F.transform(F.filter(F.slice("s", 1, 6), lambda v: v["k"] % 3 == 0), lambda v: F.concat(F.lit("age_"), (v["k"] % 7).cast("string")))
+    kinds = F.transform("s", lambda v: v["event_type"])
+    ages = F.transform(F.filter("s", lambda v: v["k"] % 3 == 0), lambda v: F.concat(F.lit("age_"), (v["k"] % 7).cast("string")))
     return g.select(F.col("user_id").alias("sample_id"), F.concat(kinds, ages).alias("tags"))
 
 
 TAGGED_SQL = """e as (select user_id, event_type, (props::json->>'k')::int as k, row_number() over (partition by user_id order by ts, event_id) as r from events),
-tagged as (select user_id as sample_id, list(event_type order by r) || coalesce(list('age_' || (k % 7) order by r) filter (where k % 3 = 0), []) as tags from e where r <= 6 group by 1)"""
+tagged as (select user_id as sample_id, list(event_type order by r) || coalesce(list('age_' || (k % 7) order by r) filter (where k % 3 = 0), []) as tags from e group by 1)"""
