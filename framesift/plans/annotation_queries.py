@@ -212,12 +212,6 @@ def coco_ids(spark, d):
     return textformats.dense_ids(x, "image", "image_id")
 
 
-@query("export_sequence_names", "select doc_id, lpad((row_number() over (order by doc_id))::varchar, 6, '0') || '__' || left(regexp_replace(lang || ' ' || source, '[^\\w-]+', '_', 'g'), 20) as name from documents")
-def sequence_names(spark, d):
-    x = textformats.dense_ids(table(spark, d, "documents").select("doc_id", "lang", "source"), "doc_id", "n")
-    return x.select("doc_id", F.concat(F.format_string("%06d", "n"), F.lit("__"), textformats.safe_name(F.concat_ws(" ", "lang", "source"))).alias("name"))
-
-
 @query("box_pairing")
 def box_pairing(spark, d):
     x = boxes(spark, d).groupBy("sample_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "box"))), lambda v: v["box"]).alias("a"))

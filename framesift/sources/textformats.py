@@ -75,12 +75,24 @@ def parse_sidecar(docs: DataFrame, labels: list[str]) -> DataFrame:
     good = lambda s: (F.size(s["points"]) >= 2) & F.forall(s["points"], lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
     issue = F.when(F.col("j").isNull() | F.col("j.shapes").isNull(), "json_error").when(F.exists("j.shapes", lambda s: ~F.coalesce(s["shape_type"], F.lit("")).isin("rectangle", "polygon")), "unsupported_shape").when(F.exists(wanted, lambda s: ~F.coalesce(good(s), F.lit(False))), "bad_points")
     box = F.transform(wanted, lambda s: F.struct(s["label"].alias("label"), F.array(*[F.bround(v, 6) for v in (F.array_min(xs(s, 0)) / F.col("j.imageWidth"), F.array_min(xs(s, 1)) / F.col("j.imageHeight"), (F.array_max(xs(s, 0)) - F.array_min(xs(s, 0))) / F.col("j.imageWidth"), (F.array_max(xs(s, 1)) - F.array_min(xs(s, 1))) / F.col("j.imageHeight"))]).alias("box")))
-    claimed = F.coalesce(F.nullif(F.trim("j.sample_id"), F.lit("")), F.nullif(F.regexp_extract("j.description", r"sample_id=([0-9a-fA-F]+)", 1), F.lit("")))
+    claimed = F.coalesce(F.nullif(F.trim("j.sample_id"), F.lit("")), F.nullif(F.regexp_extract("j.description", r"(?:^|[\s,])fo_sample_id=([^\s,]*)", 1), F.lit("")))
     return x.select("path", claimed.alias("sample_id"), F.col("j.imagePath").alias("image_path"), F.when(issue.isNull(), box).alias("boxes"), issue.alias("issue"))
 
 
-def safe_name(text: Column, most: int = 20) -> Column:
-    return F.substring(F.regexp_replace(text, r"(?U)[^\w-]+", "_"), 1, most)
+def safe_name(text: Column, most: int = 20, most_bytes: int = 30) -> Column:
+    """A name as part of a file name: at most so many characters and bytes (of UTF-8), class if nothing is left."""
+    x = F.substring(F.btrim(F.regexp_replace(text, r"(?U)[^\w-]+", "_"), F.lit("_")), 1, most)
+    x = F.when(x == "", "class").otherwise(x)
+    cuts = F.transform(F.sequence(F.lit(1), F.length(x)), lambda n: F.substring(x, 1, n))
+    return F.element_at(F.filter(cuts, lambda c: F.octet_length(c) <= most_bytes), -1)
+
+
+def export_stem(present: Column, classes: list[str], n: Column) -> Column:
+    """The name of an exported sample: its classes in the list's order, six at most and then more, and its number."""
+    mine = F.filter(F.array(*[F.lit(c) for c in classes]), lambda c: F.array_contains(present, c))
+    parts = F.transform(F.slice(mine, 1, 6), lambda c: safe_name(c))
+    parts = F.when(F.size(mine) > 6, F.concat(parts, F.array(F.lit("more")))).otherwise(parts)
+    return F.concat(F.when(F.size(parts) == 0, "negative").otherwise(F.array_join(parts, "__")), F.format_string("_%06d", n))
 
 
 def dense_ids(rows: DataFrame, key: str, name: str) -> DataFrame:

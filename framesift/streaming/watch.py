@@ -21,6 +21,44 @@ def score_new(batch: DataFrame, done: DataFrame, score) -> DataFrame:
     return score(batch.join(done.where("status = 'ok'").select("path"), "path", "left_anti"))
 
 
+def keep_scored(stream: DataFrame, score, results: str, checkpoint: str, every: str | None = "30 seconds", retries: int = 1):
+    """Scores the rows (path, ...) of a stream into the table results(path, status, ...): a started query.
+
+    score takes a DataFrame of new rows and returns path, status (ok or fail) and more columns. A row whose result of
+    an earlier round is ok is never scored again; a round that runs twice replaces its own results. Rows that fail are
+    scored again in the same round, retries times, and come again with each later round until they are ok.
+    """
+    spark = stream.sparkSession
+    hidden = f"{results.rstrip('/')}_pending"
+
+    def table(path: str) -> DataFrame | None:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return spark.read.parquet(path) if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p) else None
+
+    def one_round(batch: DataFrame, n: int) -> None:
+        if n:
+            before = table(f"{hidden}/round={n - 1}")
+            batch = batch if before is None else batch.unionByName(before.select(*batch.columns)).dropDuplicates(["path"])
+        done = table(results)
+        rows = batch if done is None else batch.join(done.where(f"status = 'ok' and round < {n}").select("path").distinct(), "path", "left_anti")
+        for k in range(retries + 1):
+            part = f"{results}/round={n}/try={k}"
+            score(rows).write.mode("overwrite").parquet(part)
+            failed = spark.read.parquet(part).where("status <> 'ok'").select("path").distinct()
+            rows = rows.join(failed, "path", "left_semi")
+        rows.write.mode("overwrite").parquet(f"{hidden}/round={n}")
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return stream.writeStream.foreachBatch(one_round).option("checkpointLocation", checkpoint).trigger(**trigger).start()
+
+
+def latest_results(spark: SparkSession, results: str) -> DataFrame:
+    """The last result of each path."""
+    x = spark.read.parquet(results)
+    last = x.groupBy("path").agg(F.max(F.struct("round", "try", F.struct(*[c for c in x.columns if c not in ("path", "round", "try")]).alias("r"))).alias("m"))
+    return last.select("path", "m.r.*")
+
+
 def counted_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by type, through a stream over what is there now."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
