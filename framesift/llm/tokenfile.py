@@ -300,8 +300,8 @@ def segments(docs: DataFrame, model_path: str, end_id: int, segment: int = SEGME
             return pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "segment": pa.array([count], pa.int32()), "before": [before], "n_tokens": [n], "n_docs": pa.array([len(held)], pa.int64()), "data": pa.array([data], pa.binary())})
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = np.append(encoder.ids(text), np.uint32(end_id))
+            for doc_id, x in zip(batch.column(0).to_pylist(), encoder.many(batch.column(1).to_pylist()), strict=True):
+                x = np.append(x, np.uint32(end_id))
                 held.append((doc_id, None, x))
                 n += len(x)
                 if n >= segment:

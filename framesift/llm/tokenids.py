@@ -14,6 +14,8 @@ import unicodedata
 
 import numpy as np
 
+from framesift.llm.wordids import WordIds
+
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\u00a0\u1680\u180e\u2000-\u200a\u200b-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 END = "\0"
 # The patterns by which the two vocabularies split texts.
@@ -50,7 +52,10 @@ class Encoder:
             raw = bytes(byte_of[c] for c in (token[: -len(suffix)] if ended else token))
             ranks[raw + END.encode() if ended else raw] = n
         self.engine = tiktoken.Encoding("own", pat_str=rf"[^{END}]*{END}" if self.words else BYTE_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.last = np.zeros(max(ranks.values()) + 1, bool)
+        self.last[[n for raw, n in ranks.items() if raw.endswith(END.encode())]] = True
         self.split = re.compile(WORD_PATTERN).findall
+        self.table: WordIds | None = None
         self.found = re.compile("|".join(map(re.escape, self.special)) or r"(?!)").search
 
     def _exact(self, text: str) -> list[int]:
@@ -75,6 +80,20 @@ class Encoder:
         return np.array(self.engine.encode_ordinary(END.join(parts) + END) if parts else [], dtype=np.uint32)
 
 
+    def _of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after another, and how many each has: a word's last token carries the mark."""
+        ids = np.array(self.engine.encode_ordinary(END.join(words).replace("Σ", "σ").lower() + END), dtype=np.uint32)
+        return ids, np.diff(np.flatnonzero(self.last[ids]), prepend=-1)
+
+    def many(self, texts: list[str | None]) -> list[np.ndarray]:
+        """ids() of each text."""
+        if not self.words:
+            return [self.ids(t) for t in texts]
+        if self.table is None:
+            self.table = WordIds(ODD, self.found, self._of_words, self.ids)
+        return self.table.ids_of(texts)
+
+
 def vocabulary(path: str) -> bytes:
     with open(path, "rb") as f:
         model = f.read()
