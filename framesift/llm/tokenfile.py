@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from framesift.llm.common import kept_in_process, partitions_for, table, written
 from framesift.llm.tokenids import Encoder, vocabulary
 
-MAGIC = b"FSTOK2\0\0"
+MAGIC = b"FSTOK3\0\0"
 BLOCK = 4096
 SEGMENT = 9_000_000  # ids after which a segment ends: what a task holds and codes at once
 HASH_BITS = 9
@@ -36,7 +36,7 @@ _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
 _16, _24, _48, _LOW32 = np.uint64(16), np.uint64(24), np.uint64(48), np.uint64(0xFFFFFFFF)
 _ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
 # the two probabilities of a mixture, of 4096, move by 1/32 to these, by what was right
-_GOAL = np.array([[4032, 32], [32, 4032], [32, 32]], dtype=np.int32)
+_GOAL = np.array([[4032, 32, 32], [32, 4032, 32]], dtype=np.int32)
 
 
 class Models:
@@ -49,7 +49,8 @@ class Models:
         # a cell: predicted id + 1, shifted by 2, and its confidence 0 to 3; first those of order 2
         self.cells = np.zeros(2 * n << HASH_BITS, dtype=np.uint32)
         self.mix = np.full(n * 16, 1024 | 1024 << 16, dtype=np.uint32)
-        self.counts = np.ones((n, HIGH), dtype=np.uint32)
+        self.counts = np.ones((n, HIGH + 1), dtype=np.uint32)  # the last column stands unused: places are those of sums
+        self.seen = self.counts.reshape(-1)
         self.sums = np.zeros((n, HIGH + 1), dtype=np.uint32)
         self.flat = self.sums.reshape(-1)
         self.of_sums = at * (HIGH + 1)
@@ -58,12 +59,12 @@ class Models:
     @staticmethod
     def due(t: int) -> bool:
         """Whether order 0 is counted anew before id t: often at first."""
-        return t % 128 == 0 or t in (8, 16, 32, 64)
+        return t % 256 == 0 or t in (8, 16, 32, 64, 128)
 
     def rebuild(self, k: int) -> None:
         """Frequencies of the high parts, at least 1, of 4096."""
-        c = np.cumsum(self.counts[:k], axis=1, dtype=np.float64)
-        self.sums[:k, 1:] = (c * ((4096 - HIGH) / c[:, -1:])).astype(np.uint32)
+        c = np.cumsum(self.counts[:k, :HIGH], axis=1, dtype=np.float32)  # below 2^24: whole
+        self.sums[:k, 1:] = np.multiply(c, np.float32(4096 - HIGH) / c[:, -1:], out=c)
         self.sums[:k, HIGH] = 4096 - HIGH
         self.sums[:k] += np.arange(HIGH + 1, dtype=np.uint32)
 
@@ -75,45 +76,43 @@ class Models:
         cells[1] = h
         cells >>= np.uint32(32 - HASH_BITS)
         i = self.base[:, :k] + cells
-        c = self.cells[i]
+        c = self.cells.take(i)
         sure = c & _THREE
         row = self.rows[:k] + ((sure[0] << _TWO) | sure[1])
-        p = self.mix[row]
+        p = self.mix.take(row)
         return i, c, sure, row, p & np.uint32(0xFFFF), p >> _16.astype(np.uint32)
 
     def learn(self, k: int, x: np.ndarray, kind: np.ndarray, seen) -> None:
         i, c, sure, row, p0, p1 = seen
         want = x + _ONE
-        self.cells[i] = (want << _TWO) | np.where(c >> _TWO == want, np.minimum(sure + _ONE, _THREE), _ONE)
-        goal = _GOAL[kind]
+        self.cells[i] = np.where(c >> _TWO == want, c + (sure < _THREE), (want << _TWO) | _ONE)
         p0, p1 = p0.astype(np.int32), p1.astype(np.int32)
-        p0 += (goal[:, 0] - p0) >> 5
-        p1 += (goal[:, 1] - p1) >> 5
+        p0 += (_GOAL[0].take(kind) - p0) >> 5
+        p1 += (_GOAL[1].take(kind) - p1) >> 5
         self.mix[row] = p0 | p1 << 16
         self.before[:k] = self.last[:k]
         self.last[:k] = x
 
 
-def _renewed(low: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Where a digit is due; sizes that got too small at a digit's edge are cut to it."""
+def _due(low: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether a digit is due; sizes that got too small at a digit's edge are cut to it."""
     settled = (low ^ (low + size)) < _TOP
-    due = settled | (size < _BOT)
-    j = np.flatnonzero(due)
-    cut = j[~settled[j]]
+    small = size < _BOT
+    cut = np.flatnonzero(small & ~settled)
     if len(cut):
         size[cut] = (np.uint64(0) - low[cut]) & _LOW32
-    return j
+    small |= settled
+    return small
 
 
-def _interval(p0, p1, kind, e, a, freq):
+def _interval(p0, p1, kind, e, both, a, freq):
     """Start and length, of 2^24, of what happened: order 2 right, order 1 right, or a high part (for the blocks e)."""
-    start = np.where(kind == 0, np.uint32(0), p0 << np.uint32(12))
-    length = np.where(kind == 0, p0, p1) << np.uint32(12)
-    if len(e):
-        both = p0[e] + p1[e]
-        rest = np.uint32(4096) - both
-        start[e] = (both << np.uint32(12)) + rest * a
-        length[e] = rest * freq
+    first = kind == 0
+    start = np.where(first, np.uint32(0), p0 << np.uint32(12))
+    length = np.where(first, p0, p1) << np.uint32(12)
+    rest = np.uint32(4096) - both
+    start[e] = (both << np.uint32(12)) + rest * a
+    length[e] = rest * freq
     return start, length
 
 
@@ -141,25 +140,34 @@ def encode_blocks(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
         kinds[t, :k] = kind
         e = np.flatnonzero(kind == 2)
         high = (x[e] >> bits).astype(np.int64)
-        place = m.of_sums[e] + high
-        a = m.flat[place]
-        start, length = _interval(seen[4], seen[5], kind, e, a, m.flat[place + 1] - a)
-        m.counts[e, high] += np.uint32(24)
+        place = m.of_sums.take(e) + high
+        a = m.flat.take(place)
+        start, length = _interval(seen[4], seen[5], kind, e, (seen[4] + seen[5]).take(e), a, m.flat.take(place + 1) - a)
+        m.seen[place] += np.uint32(24)
         m.learn(k, x, kind, seen)
         lo, sz = low[:k], size[:k]
         sz >>= _24
         lo += sz * start
         sz *= length
-        j = _renewed(lo, sz)
-        while len(j):
-            l, s = lo[j], sz[j]
+        due = _due(lo, sz)  # for all blocks at once: where no digit is due, the next one takes its place
+        out[pos[:k]] = lo >> _48
+        pos[:k] += due
+        shift = due * _16
+        lo <<= shift
+        sz <<= shift
+        j = np.flatnonzero(due)
+        l, s = lo[j], sz[j]
+        while True:
+            again = _due(l, s)
+            sz[j] = s
+            if not again.any():
+                break
+            j, l, s = j[again], l[again], s[again]
             out[pos[j]] = l >> _48
             pos[j] += 1
             l <<= _16
             s <<= _16
-            again = _renewed(l, s)
             lo[j], sz[j] = l, s
-            j = j[again]
     for _ in range(4):
         out[pos] = low >> _48
         pos += 1
@@ -210,31 +218,43 @@ def decode_blocks(coded: list[bytes], lengths: list[int], low_bits: int) -> list
         sz >>= _24
         v = np.minimum((co - lo) // sz, np.uint64((1 << 24) - 1)).astype(np.uint32)
         first = p0 << np.uint32(12)
-        second = first + (p1 << np.uint32(12))
+        sum_ = p0 + p1
+        second = sum_ << np.uint32(12)
         kind = (v >= first).astype(np.int64) + (v >= second)
         e = np.flatnonzero(kind == 2)
-        high = table[of_table[e] + (v[e] - second[e]) // (np.uint32(4096) - p0[e] - p1[e])].astype(np.int64)
-        place = m.of_sums[e] + high
-        a = m.flat[place]
-        start, length = _interval(p0, p1, kind, e, a, m.flat[place + 1] - a)
-        m.counts[e, high] += np.uint32(24)
+        both = sum_.take(e)
+        high = table.take(of_table.take(e) + (v.take(e) - (both << np.uint32(12))) // (np.uint32(4096) - both)).astype(np.int64)
+        place = m.of_sums.take(e) + high
+        a = m.flat.take(place)
+        start, length = _interval(p0, p1, kind, e, both, a, m.flat.take(place + 1) - a)
+        m.seen[place] += np.uint32(24)
         x = (np.where(kind == 0, seen[1][0], seen[1][1]) >> _TWO) - _ONE
-        x[e] = (high.astype(np.uint32) << bits) | rest[at_rest[e]]
+        x[e] = (high.astype(np.uint32) << bits) | rest.take(at_rest.take(e))
         at_rest[e] += 1
         m.learn(k, x, kind, seen)
         ids[t, :k] = x
         lo += sz * start
         sz *= length
-        j = _renewed(lo, sz)
-        while len(j):
-            l, s = lo[j], sz[j]
+        due = _due(lo, sz)
+        shift = due * _16
+        co <<= shift
+        co |= words.take(pos[:k]) * due
+        pos[:k] += due
+        lo <<= shift
+        sz <<= shift
+        j = np.flatnonzero(due)
+        l, s = lo[j], sz[j]
+        while True:
+            again = _due(l, s)
+            sz[j] = s
+            if not again.any():
+                break
+            j, l, s = j[again], l[again], s[again]
             co[j] = (co[j] << _16) | words[pos[j]]
             pos[j] += 1
             l <<= _16
             s <<= _16
-            again = _renewed(l, s)
             lo[j], sz[j] = l, s
-            j = j[again]
     by_block = np.ascontiguousarray(ids.T)
     return [by_block[k, : lengths[k]] for k in range(n)]
 

@@ -201,8 +201,29 @@ def test_token_ids(name, spark, sf_dir):
     random.seed(3)
     bits = ["a", "B", "é", " ", "  ", "\n", "\t", "<|endoftext|>", "'s", "12", ".", " ", "Σ", "́", "中", "!!", "\r\n", "½", "_", "İ", "\x00", "\x1c", "hello", "'"]
     texts = ["".join(random.choice(bits) for _ in range(random.randint(0, 12))) for _ in range(3000)] + [r.text for r in table(spark, sf_dir, "documents").collect()]
+    bits += ["'re", "'LL", "''s", "('s", "'d'", "don't", "日本", "Привет", "😀", "ﬁ", "K", "ª", "٣", "’s", "__a", "x" * 30]
+    texts += ["".join(random.choice(bits) for _ in range(random.randint(0, 12))) for _ in range(3000)] + [None, "", "'", "'s", "'r", "ab " * 100_000, "a" * 300_000]
+    for t, ids in zip(texts, own.many(texts), strict=True):
+        assert ids.tolist() == library.encode(t or "", add_special_tokens=False).ids, repr(t)
     for t in texts:
-        assert own.ids(t).tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+        assert own.ids(t).tolist() == library.encode(t or "", add_special_tokens=False).ids, repr(t)
+
+
+def test_word_table_fills_up(monkeypatch):
+    """A table that is full is emptied; words that want one slot all find a place."""
+    from framesift.llm import wordids
+
+    monkeypatch.setattr(wordids, "CHUNK", 256)
+    own = Encoder(vocabulary(P.path("word_bpe_49k.json")))
+    own.many([])
+    table, emptied = own.table, []
+    empty = table._empty
+    monkeypatch.setattr(table, "_empty", lambda: (emptied.append(table.words), empty()))
+    table.words = wordids.SLOTS // 2 - 300
+    value = table.value
+    table.value = value >> np.uint64(40)  # hashes that lie close together, so that many want one slot
+    texts = [" ".join("".join(random.choices("abcdefghijklmnop", k=3)) for _ in range(20)) for _ in range(400)]
+    assert [x.tolist() for x in own.many(texts)] == [own.ids(t).tolist() for t in texts] and emptied
 
 
 def test_op8(spark, sf_dir, edge, none):
