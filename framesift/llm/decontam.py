@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation. DataFrame operations only.
 
 Numbers, names and units become typed placeholders, so that a question with other values has the same template.
-Windows of five template words are joined by hash; each hit fixes an alignment of a document with an item, along which
-words are compared, and the values in the slots must map one to one.
+Windows of five words, at every word of documents and items, are joined by hash (items of fewer words as a whole); each
+hit fixes an alignment of a document with an item, along which words are compared, and the values in the slots must map
+one to one.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from framesift.llm.common import table, written
 
 WINDOW = 5  # words
-STRIDE = 4  # documents' windows begin at every fourth word, items' at every word: a common run of 8 words is always hit
 RUN = 13  # words in a row, or the whole item, that count as a leak
 COVER = 0.6  # or this share of an item's words along one alignment
 BROADCAST_WINDOWS = 200_000  # up to so many item windows are broadcast (16 bytes each); more are shuffled
@@ -57,38 +57,51 @@ def _words(x: DataFrame) -> DataFrame:
     return _once(x.drop("text"), plain=plain(F.col("w")), template=template(F.col("w"))).drop("w")
 
 
-def _windows(words: str, stride: int) -> Column:
-    """Hashes of the windows of words, given their hashes, by place."""
-    at = lambda i: [F.get(F.col(words), (i * stride + k).cast("int")) for k in range(WINDOW)]
-    n = F.floor((F.size(words) - WINDOW) / stride)
-    return F.when(F.size(words) >= WINDOW, F.transform(F.sequence(F.lit(0).cast("long"), n), lambda i: F.xxhash64(*at(i)))).otherwise(F.array().cast("array<bigint>"))
+def _window(words: str, n: int) -> Column:
+    """Hash of the n words at the place at, given the hashes of words; null where the text ends before."""
+    first = F.get(F.col(words), F.col("at"))
+    # the word before decides whether a word is a unit, and it is outside the window
+    first = F.when(first.isin([F.xxhash64(F.lit(u)) for u in (*UNITS.split(), UNIT)]), F.xxhash64(F.lit(UNIT))).otherwise(first)
+    return F.when(F.col("at") + n <= F.size(words), F.xxhash64(first, *[F.get(F.col(words), F.col("at") + k) for k in range(1, n)]))
 
 
 def _hashes(words: str) -> Column:
     return F.transform(F.split(words, " "), lambda x: F.xxhash64(x))
 
 
+def _bare(template: Column) -> Column:
+    """Whether a template is of fewer words than a window and all of them placeholders."""
+    return (F.size(template) < WINDOW) & F.forall(template, lambda w: w.isin(NAME, NUMBER, UNIT))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs(doc_id, text), benchmark(item_id, text) to a row for each document and item it contains:
 
     doc_id, item_id, n_words (of the item), longest_run, n_matched (both along the best alignment), n_changed (slots with
-    another value than the item's). Null and empty texts, documents and items of under five words, and null ids have no
-    leaks (an item under eight words only where a window begins on it); repeated rows of a document give one row; no rows
-    give no rows; other columns are ignored.
+    another value than the item's). Null and empty texts and null ids have no leaks; repeated rows of a document give one
+    row; no rows give no rows; other columns are ignored. An item of fewer words than a window must occur as a whole, and
+    with its own values if it has no other words than numbers, names and units.
     """
     items = written(_words(benchmark.where("item_id is not null").select("item_id", "text").dropDuplicates()), "items")
-    at_items = _once(items, h=_hashes("template"))
-    at_items = at_items.select("item_id", F.posexplode(_windows("h", 1)).alias("at_item", "h"))
-    n_windows = items.agg(F.coalesce(F.sum(F.size(F.split("plain", " "))), F.lit(0))).first()[0]
+    at_items = _once(items, ht=_hashes("template"), hp=_hashes("plain"), bare=_bare(F.split("template", " ")))
+    n_windows, whole, bare = items.select("plain", _bare(F.split("template", " ")).alias("bare"), F.size(F.split("plain", " ")).alias("n")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)), *[F.collect_set(F.when((F.col("n") < WINDOW) & (F.col("plain") != "") & c, F.col("n"))) for c in (~F.col("bare"), F.col("bare"))]
+    ).first()  # the lengths of short items: at most four of either kind
+    at_items = at_items.select("item_id", "ht", "hp", "bare", F.size("ht").alias("n"), F.posexplode("ht").alias("at", "w"))
+    at_items = at_items.select("item_id", F.col("at").alias("at_item"), F.explode(F.array(
+        _window("ht", WINDOW), *[F.when((F.col("n") == n) & ~F.col("bare"), _window("ht", n)) for n in whole], *[F.when((F.col("n") == n) & F.col("bare"), _window("hp", n)) for n in bare]
+    )).alias("h")).where("h is not null").distinct()
     if n_windows <= BROADCAST_WINDOWS:
         at_items = F.broadcast(at_items)
     # templates with names also match by plain words, as names may have lost their case
-    none = F.array().cast("array<bigint>")
+    none = F.lit(None).cast("array<bigint>")
     x = _words(docs.where("doc_id is not null").select("doc_id", "text"))
-    x = _once(x, ht=_hashes("template"), hp=F.when(F.instr("template", NAME) > 0, _hashes("plain")).otherwise(none)).drop("plain", "template")
-    per = F.greatest(F.floor((F.size("ht") - WINDOW) / STRIDE) + 1, F.lit(1))
-    x = x.select("doc_id", per.alias("per"), F.posexplode(F.concat(_windows("ht", STRIDE), _windows("hp", STRIDE))).alias("k", "h"))
-    found = x.join(at_items, "h").select("doc_id", "item_id", (F.pmod("k", "per") * STRIDE - F.col("at_item")).cast("int").alias("shift")).distinct()
+    named = F.instr("template", NAME) > 0
+    x = _once(x, ht=_hashes("template"), hn=F.when(named, _hashes("plain")).otherwise(none), hp=_hashes("plain") if bare else none).drop("plain", "template")
+    x = x.select("doc_id", "ht", "hn", "hp", F.posexplode("ht").alias("at", "w"))
+    h = [_window(c, n) for n in (WINDOW, *whole) for c in ("ht", "hn")] + [_window("hp", n) for n in bare]
+    x = x.select("doc_id", "at", F.explode(F.array(*h)).alias("h")).where("h is not null")
+    found = x.join(at_items, "h").select("doc_id", "item_id", (F.col("at") - F.col("at_item")).alias("shift")).distinct()
     found = written(found, "leak-hits")
 
     x = _words(found.join(docs.select("doc_id", "text"), "doc_id")).join(items.toDF("item_id", "item_plain", "item_template"), "item_id")
@@ -100,7 +113,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     x = _once(x, slots=F.expr("transform(filter(sequence(0, size(m) - 1), i -> m[i] and item_plain[i] <> item_template[i]), i -> named_struct('a', concat(item_template[i], item_plain[i]), 'b', concat(item_template[i], plain[shift + i])))"))
     same = F.expr("size(array_distinct(slots)) = size(array_distinct(slots.a)) and size(array_distinct(slots)) = size(array_distinct(slots.b))")
     n = F.size("item_plain")
-    leak = same & ((F.col("longest_run") >= F.least(F.lit(RUN), n)) | (F.col("n_matched") >= COVER * n))
+    own = ~_bare(F.col("item_template")) | F.expr("forall(slots, s -> s.a = s.b)")
+    leak = same & own & ((F.col("longest_run") >= F.least(F.lit(RUN), n)) | (F.col("n_matched") >= COVER * n))
     x = x.where(leak).select("doc_id", "item_id", F.struct("n_matched", "longest_run", n.alias("n_words"), F.expr("size(filter(slots, s -> s.a <> s.b))").alias("n_changed")).alias("s"))
     return x.groupBy("doc_id", "item_id").agg(F.max("s").alias("s")).select("doc_id", "item_id", "s.n_words", "s.longest_run", "s.n_matched", "s.n_changed")
 

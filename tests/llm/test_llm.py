@@ -127,6 +127,17 @@ def test_op3(spark):
     assert leaks(spark.createDataFrame([], DOCS), bench).count() == 0
 
 
+def test_op3_short_runs(spark):
+    items = {1: "seven wonders lie beyond rivers", 2: "What is 7 + 5?", 3: "where do old maps end now", 4: "red green blue white black brown amber coral olive ivory khaki lilac mauve ochre pearl peach plum rose", 5: "42", 6: "tell me why"}
+    edited = items[4].split()
+    edited[5] = edited[11] = edited[17] = "grey"  # runs of five words
+    texts = {1: items[1], 2: "asked: what is 9 + 4, then", 3: items[3], 4: " ".join(edited), 5: "it was 42 then", 6: "please tell me why"}
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    docs = [(k * 10 + at, "w " * at + text) for k, text in texts.items() for at in range(8)] + [(99, "it was 43 then; tell me"), (98, "")]
+    got = {(r.doc_id, r.item_id) for r in leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()}
+    assert got == {(k * 10 + at, k) for k in texts for at in range(8)}
+
+
 def test_op3_finds_every_copy(spark, sf_dir):
     docs, bench = table(spark, sf_dir, "documents").collect(), table(spark, sf_dir, "benchmark").collect()
     flat = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
