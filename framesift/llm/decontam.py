@@ -52,9 +52,11 @@ def _once(x: DataFrame, **columns: Column) -> DataFrame:
 
 
 def _words(x: DataFrame) -> DataFrame:
-    """x with plain and template, the words of text in either form, as strings."""
+    """x with plain and template, the words of text in either form, as strings, and the template with names as they are:
+    null where there are none."""
     x = _once(x, w=marked(F.col("text")))
-    return _once(x.drop("text"), plain=plain(F.col("w")), template=template(F.col("w"))).drop("w")
+    named = F.when(F.instr("w", NAME) > 0, template(F.translate("w", NAME, "")))
+    return _once(x.drop("text"), plain=plain(F.col("w")), template=template(F.col("w")), named=named).drop("w")
 
 
 def _window(words: str, n: int) -> Column:
@@ -83,28 +85,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     with its own values if it has no other words than numbers, names and units.
     """
     items = written(_words(benchmark.where("item_id is not null").select("item_id", "text").dropDuplicates()), "items")
-    at_items = _once(items, ht=_hashes("template"), hp=_hashes("plain"), bare=_bare(F.split("template", " ")))
+    # names may have lost their case, or words won it: windows also match with names taken as words
+    at_items = _once(items, ht=_hashes("template"), hn=_hashes("named"), hp=_hashes("plain"), bare=_bare(F.split("template", " ")))
     n_windows, whole, bare = items.select("plain", _bare(F.split("template", " ")).alias("bare"), F.size(F.split("plain", " ")).alias("n")).agg(
         F.coalesce(F.sum("n"), F.lit(0)), *[F.collect_set(F.when((F.col("n") < WINDOW) & (F.col("plain") != "") & c, F.col("n"))) for c in (~F.col("bare"), F.col("bare"))]
     ).first()  # the lengths of short items: at most four of either kind
-    at_items = at_items.select("item_id", "ht", "hp", "bare", F.size("ht").alias("n"), F.posexplode("ht").alias("at", "w"))
+    at_items = at_items.select("item_id", "ht", "hn", "hp", "bare", F.size("ht").alias("n"), F.posexplode("ht").alias("at", "w"))
     at_items = at_items.select("item_id", F.col("at").alias("at_item"), F.explode(F.array(
-        _window("ht", WINDOW), *[F.when((F.col("n") == n) & ~F.col("bare"), _window("ht", n)) for n in whole], *[F.when((F.col("n") == n) & F.col("bare"), _window("hp", n)) for n in bare]
+        *[_window(c, WINDOW) for c in ("ht", "hn")], *[F.when((F.col("n") == n) & ~F.col("bare"), _window(c, n)) for n in whole for c in ("ht", "hn")], *[F.when((F.col("n") == n) & F.col("bare"), _window("hp", n)) for n in bare]
     )).alias("h")).where("h is not null").distinct()
-    if n_windows <= BROADCAST_WINDOWS:
+    if 2 * n_windows <= BROADCAST_WINDOWS:
         at_items = F.broadcast(at_items)
-    # templates with names also match by plain words, as names may have lost their case
     none = F.lit(None).cast("array<bigint>")
     x = _words(docs.where("doc_id is not null").select("doc_id", "text"))
-    named = F.instr("template", NAME) > 0
-    x = _once(x, ht=_hashes("template"), hn=F.when(named, _hashes("plain")).otherwise(none), hp=_hashes("plain") if bare else none).drop("plain", "template")
+    x = _once(x, ht=_hashes("template"), hn=_hashes("named"), hp=_hashes("plain") if bare else none).drop("plain", "template", "named")
     x = x.select("doc_id", "ht", "hn", "hp", F.posexplode("ht").alias("at", "w"))
     h = [_window(c, n) for n in (WINDOW, *whole) for c in ("ht", "hn")] + [_window("hp", n) for n in bare]
     x = x.select("doc_id", "at", F.explode(F.array(*h)).alias("h")).where("h is not null")
     found = x.join(at_items, "h").select("doc_id", "item_id", (F.col("at") - F.col("at_item")).alias("shift")).distinct()
     found = written(found, "leak-hits")
 
-    x = _words(found.join(docs.select("doc_id", "text"), "doc_id")).join(items.toDF("item_id", "item_plain", "item_template"), "item_id")
+    x = _words(found.join(docs.select("doc_id", "text"), "doc_id")).join(items.select("item_id", F.col("plain").alias("item_plain"), F.col("template").alias("item_template")), "item_id")
     x = _once(x, **{c: F.split(c, " ") for c in ("plain", "template", "item_plain", "item_template")})
     at = "if(shift + i < 0, size(plain) + 1, shift + i + 1)"
     x = _once(x, m=F.expr(f"transform(sequence(0, size(item_plain) - 1), i -> coalesce(try_element_at(plain, {at}) = item_plain[i] or try_element_at(template, {at}) = item_template[i], false))"))

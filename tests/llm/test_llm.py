@@ -138,6 +138,15 @@ def test_op3_short_runs(spark):
     assert got == {(k * 10 + at, k) for k in texts for at in range(8)}
 
 
+def test_op3_names_without_case(spark):
+    item = "today, Alice, Bob and Carol met Dave in Boston, Erin paid Frank 12 dollars and Grace, Heidi saw Ivan"
+    copies = [item, item.lower(), item.upper(), item.lower().replace("12", "40"), item.upper().replace("12", "40")]
+    bench = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = [(k, "w " * k + text) for k, text in enumerate(copies)] + [(9, "today, nobody met anybody in town and nobody paid")]
+    got = {r.doc_id: r.n_changed for r in leaks(spark.createDataFrame(docs, "doc_id bigint, text string"), bench).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
+
+
 def test_op3_finds_every_copy(spark, sf_dir):
     docs, bench = table(spark, sf_dir, "documents").collect(), table(spark, sf_dir, "benchmark").collect()
     flat = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
