@@ -1,6 +1,7 @@
 """License scans: sparse TF-IDF cosine of license lines to templates, and inheritance from the nearest directory.
 
-A run of lines with license words is compared with each template; terms weigh by their rarity over all documents. A file
+Whole files, lines and overlapping blocks of lines with license words are compared with each template, notices and full
+texts; terms weigh by their rarity over all documents. Versions and variants are read from what matched. A file
 that is mostly license text speaks for its directory; files without a license of their own take that of the nearest
 directory above them that has one.
 """
@@ -11,6 +12,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -18,7 +20,7 @@ from pyspark.sql import functions as F
 
 from framesift.llm.common import table, written
 
-# Short license notices by identifier.
+# License notices by identifier, and the full texts.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
     "Apache-2.0/short": "Licensed under the Apache License, Version 2.0.",
@@ -34,13 +36,21 @@ TEMPLATES = {
     "CC-BY-4.0/short": "Licensed under CC BY 4.0. This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0/short": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0/short": "Licensed under CC BY-SA 4.0.",
+    "CC-BY-ND-4.0/short": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0/short": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0/short": "Licensed under CC BY-NC-ND 4.0.",
     "CC0-1.0/short": "To the extent possible under law, the author has waived all copyright and related rights to this work under CC0 1.0.",
-}
+} | {f"{x.stem}/text": x.read_text() for x in sorted(Path(__file__).with_name("license_texts").glob("*.txt"))}
 CUE = re.compile(r"licen[sc]|copyright|spdx|redistribut|public domain|permission is hereby|copyleft|warrant(?:y|ies)\b|creative commons", re.I)
 WORD = re.compile(r"[a-z]+(?:\+\+)?|\d+(?:\.\d+)*")
 LEAST = 0.6  # cosine that counts as a match
 FILE_SHARE = 0.5  # of a file's words that license lines make up in a license file
 WINDOW = 4  # lines with cues at most two lines apart are read together, and each line alone
+HEADER = (2, 3, 4, 6, 8, 12, 16, 24, 32, 48)  # lines of the blocks that begin at or up to two lines before a line with a cue
+LONG = 64  # lines of the shortest of the blocks of doubling length that begin at every quarter of their length
+VERSION = re.compile(r"\bv(?:ersion|\.)?\s*(\d+(?:\.\d+)*)|licen[sc]e[s-]*\s*(\d+\.\d+)", re.I)
+GNU = re.compile(r"(affero|lesser|library)?\s*general\s+public\s+licen[sc]e", re.I)
+CC = re.compile(r"\bcc[ -](by(?:[ -](?:nc|nd|sa))*)\b|attribution((?:[\s-]+(?:non-?commercial|no-?deriv\w*|share-?alike))*)", re.I)
 
 
 def terms(text: str) -> Counter:
@@ -66,53 +76,105 @@ def term_counts(docs: DataFrame) -> tuple[int, dict[str, int]]:
     return counts.pop("", 0), counts
 
 
+def named(template: str, part: str, text: str) -> str:
+    """The identifier of a template, with the version and variant that the part which matched, or else its text, states.
+
+    A license that has versions and states none anywhere is named without one.
+    """
+    name = template.split("/")[0]
+    family = name.rsplit("-", 1)[0]
+    if family in ("GPL", "LGPL", "AGPL"):
+        if m := GNU.search(part):
+            family = {"affero": "AGPL", "lesser": "LGPL", "library": "LGPL"}.get((m[1] or "").lower(), "GPL")
+    elif name.startswith("CC-BY"):
+        if m := CC.search(part):
+            more = (m[1] or m[2] or "").lower()
+            family = "-".join(["CC-BY", *[k for k, w in (("NC", "nc|non-?comm"), ("ND", "nd|no-?deriv"), ("SA", "sa|share")) if re.search(rf"\b(?:{w})", more)]])
+        m = re.search(r"\b([1-4]\.\d)\b", part)
+        return f"{family}-{m[1]}" if m else family
+    elif name == "BSD-3-Clause":
+        if template.endswith("/short") or re.search(r"neither\s+the\s+names?|endorse\s+or\s+promote", text, re.I):
+            return "BSD-4-Clause" if re.search(r"all\s+advertising\s+materials", text, re.I) else name
+        return "BSD-2-Clause"
+    elif family not in ("Apache", "MPL"):
+        return name
+    m = VERSION.search(part) or VERSION.search(text)
+    if not m:
+        return family
+    version = m[1] or m[2]
+    return f"{family}-{version if '.' in version else version + '.0'}"
+
+
 class Matcher:
     def __init__(self, n_docs: int, counts: dict[str, int]):
         self.n, self.counts = n_docs, counts
-        self.templates = {}
-        for name, text in TEMPLATES.items():
+        self.names = list(TEMPLATES)
+        self.index: dict[str, list[tuple[int, float]]] = {}
+        for k, text in enumerate(TEMPLATES.values()):
             v = {t: (1 + math.log(c)) * self.idf(t) for t, c in terms(text).items()}
             size = math.sqrt(sum(x * x for x in v.values()))
-            self.templates[name] = {t: x / size for t, x in v.items()}
+            for t, x in v.items():
+                self.index.setdefault(t, []).append((k, x / size))
 
     def idf(self, term: str) -> float:
         return math.log((2 + self.n) / (1 + self.counts.get(term, 0)))
 
-    def best(self, text: str) -> tuple[float, str | None]:
-        v = {t: (1 + math.log(c)) * self.idf(t) for t, c in terms(text).items()}
-        size = math.sqrt(sum(x * x for x in v.values()))
+    def best(self, counted: Counter) -> tuple[float, str | None]:
+        scores, size = [0.0] * len(self.names), 0.0
+        for t, c in counted.items():
+            x = (1 + math.log(c)) * self.idf(t)
+            size += x * x
+            for k, w in self.index.get(t, ()):
+                scores[k] += x * w
         if not size:
             return 0.0, None
-        scores = ((sum(x * w.get(t, 0.0) for t, x in v.items()) / size, name) for name, w in self.templates.items())
-        return max(scores, key=lambda s: (s[0], s[1]))
+        return max(zip((s / math.sqrt(size) for s in scores), self.names, strict=True))
 
     def scan(self, text: str) -> tuple[str | None, float, bool]:
         """License, cosine, and whether the text is a license file. Whole texts without a cue have none."""
         if not CUE.search(text):
             return None, 0.0, False
         lines = text.split("\n")
-        cued = [k for k, x in enumerate(lines) if CUE.search(x)]
-        found: list[tuple[float, str, int]] = []
+        n, cued = len(lines), [k for k, x in enumerate(lines) if CUE.search(x)]
+        found: list[tuple[float, str, int, str]] = []
+
+        def compare(part: str, counted: Counter) -> None:
+            score, name = self.best(counted)
+            if name and score >= LEAST:
+                found.append((score, name, len(part.split()), part))
+
+        for k in cued:
+            for s in [lines[k], *[s for s in re.split(r"(?<=[.!?])\s+", lines[k]) if CUE.search(s)]]:
+                compare(s, terms(s))
         runs = [[cued[0], cued[0]]]
         for k in cued[1:]:
             if k - runs[-1][1] <= 2 and k - runs[-1][0] < WINDOW:
                 runs[-1][1] = k
             else:
                 runs.append([k, k])
-        spans = {(a, b + 1) for a, b in runs} | {(k, k + 1) for k in cued}
-        if len(lines) <= 40 * len(cued) and len(text) < 40_000:
-            spans.add((0, len(lines)))
+        spans = {(a, b + 1) for a, b in runs if b > a} | {(0, n)}
+        spans |= {(a, a + m) for k in cued for a in range(max(0, k - 2), k + 1) for m in HEADER if k < a + m <= n}
+        m = LONG
+        while m < n:
+            step = m // 4
+            spans |= {(a, min(n, a + m)) for k in cued for a in range(max(0, (k - m) // step + 1) * step, k + 1, step)}
+            m *= 2
+        by_line: dict[int, Counter] = {}
+        at, counted, end = None, Counter(), 0
         for a, b in sorted(spans):
-            part = "\n".join(lines[a:b])
-            sentences = [part] if b - a > 1 else [part, *[s for s in re.split(r"(?<=[.!?])\s+", part) if CUE.search(s)]]
-            for s in sentences:
-                score, name = self.best(s)
-                if name and score >= LEAST:
-                    found.append((score, name, len(s.split())))
+            if a != at:
+                at, counted, end = a, Counter(), a
+            for k in range(end, b):
+                if k not in by_line:
+                    by_line[k] = terms(lines[k])
+                for t, c in by_line[k].items():
+                    counted[t] += c
+            end = b
+            compare("\n".join(lines[a:b]), counted)
         if not found:
             return None, 0.0, False
-        score, name, words = max(found)
-        return name.split("/")[0], score, max(f[2] for f in found) >= FILE_SHARE * max(1, len(text.split()))
+        score, name, _, part = max(found)
+        return named(name, part, text), score, max(f[2] for f in found) >= FILE_SHARE * max(1, len(text.split()))
 
 
 def scanned(files: DataFrame) -> DataFrame:

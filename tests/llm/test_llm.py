@@ -213,6 +213,25 @@ def test_op7(spark):
     assert inherited(scanned(spark.createDataFrame([], "doc_id bigint, path string, text string"))).count() == 0
 
 
+def test_op7_full_texts_and_headers(spark):
+    from framesift.llm.licenses import TEMPLATES
+
+    full = {k.split("/")[0]: t for k, t in TEMPLATES.items() if k.endswith("/text")}
+    mit = "\n".join(" * " + x for x in full["MIT"].split("\n"))
+    code = "".join(f"int f{k}(int a) {{ return a + {k}; }}\n" for k in range(2000))
+    rows = [(k, f"d{k}/LICENSE", t, name, True) for k, (name, t) in enumerate(sorted(full.items()))]
+    rows += [
+        (50, "a/x.c", f"/*\n{mit}\n */\n{code}", "MIT", False),
+        (51, "b/x.c", "/*\n * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU General Public License as published by\n * the Free Software Foundation; either version 2 of the License, or\n * (at your option) any later version.\n */\n" + code, "GPL-2.0", False),
+        (52, "c/x.c", code + full["Apache-2.0"] + code, "Apache-2.0", False),
+        (53, "e/LICENSE", full["GPL-3.0"] + "\n" * 5 + full["GPL-3.0"], "GPL-3.0", True),
+        (54, "f/x.txt", "Licensed under CC BY-NC-SA 3.0.\n" + code, "CC-BY-NC-SA-3.0", False),
+        (55, "g/x.txt", code, None, False),
+    ]
+    x = scanned(spark.createDataFrame([r[:3] for r in rows], "doc_id bigint, path string, text string"))
+    assert {r.doc_id: (r.license, r.is_license_file) for r in x.collect()} == {r[0]: r[3:] for r in rows}
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_token_ids(name, spark, sf_dir):
     from tokenizers import Tokenizer
