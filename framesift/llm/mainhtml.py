@@ -22,6 +22,7 @@ from framesift.llm.common import table
 
 # Element names and words in class, id and role.
 SKIPPED = frozenset("script style noscript template head svg math iframe object canvas audio video select textarea button datalist title".split())
+NESTED = frozenset("svg template object math".split())  # skipped ones that can hold their like
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
@@ -71,12 +72,25 @@ def _purpose(name: str, attrs: str, prior: float, in_article: bool) -> tuple[flo
     return prior, False
 
 
+def _end(page: str, name: str, at: int) -> int | None:
+    """Where a skipped element that was opened before at is closed: behind the matching tag if it can hold itself."""
+    depth, end = 1, None
+    for m in re.compile(rf"<(/?){re.escape(name)}(?:\s[^>]*)?>", re.I).finditer(page, at):
+        if m[1]:
+            depth, end = depth - 1, end or m.end()
+            if not depth or name not in NESTED:
+                return m.end()
+        elif not m[0].endswith("/>"):
+            depth += 1
+    return end
+
+
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page that have text, in order."""
     out: list[Block] = []
     # open elements: name, number, prior, region, whether inside article or main, whether inside a link
     stack: list[tuple] = [("", 0, 0.0, 0, False, False)]
-    number, block, at, skip = 0, None, 0, None
+    number, block, at = 0, None, 0
 
     def text(t: str) -> None:
         nonlocal block
@@ -96,11 +110,7 @@ def blocks_of(page: str) -> list[Block]:
         if stack[-1][5]:
             block.linked += len(t)
 
-    for m in TOKEN.finditer(page):
-        if skip is not None:
-            if m[2] and m[1] and m[2].lower() == skip:
-                skip, at = None, m.end()
-            continue
+    while m := TOKEN.search(page, at):
         if m.start() > at:
             text(html_lib.unescape(page[at : m.start()]) if "&" in page[at : m.start()] else page[at : m.start()])
         at = m.end()
@@ -124,14 +134,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         if name in SKIPPED or HIDDEN.search(attrs):
             if name in SKIPPED or name in BLOCKS:
-                end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at) if name in SKIPPED else None
                 if name in SKIPPED:
+                    end = _end(page, name, at)
                     if end is None and name == "head":
                         continue
-                    at = end.end() if end else len(page)
-                    skip_to = at
-                    if skip_to >= len(page):
+                    if end is None or end >= len(page):
                         return out
+                    at = end  # the search goes on there: what is inside makes no tokens
                     continue
         if name in ("p", "li", "tr", "td", "th", "dd", "dt", "option") or name in BLOCKS:  # what an element like this closes
             k = len(stack) - 1
@@ -147,7 +156,7 @@ def blocks_of(page: str) -> list[Block]:
         stack.append((name, number, own, number if new else region, in_article or name in ("article", "main"), link or name == "a"))
         if len(stack) > 400:  # unclosed inline elements pile up
             stack = [stack[0], *[s for s in stack[1:] if s[0] in BLOCKS][-300:]]
-    if skip is None and at < len(page):
+    if at < len(page):
         rest = page[at:]
         text(html_lib.unescape(rest) if not rest.startswith("<") else "")
     return out

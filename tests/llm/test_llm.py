@@ -87,6 +87,21 @@ def test_op1_edges(spark):
     assert main_text(page) == "T\n\nBody of the story. More."
 
 
+def test_op1_skipped_elements():
+    first, last = "<p>The first part of a story that is long enough.</p>", "<p>The last part of a story that is long enough.</p>"
+    for inside in (
+        "<noscript><p>Please enable JavaScript in your browser.</p></noscript>",
+        "<button><span>Subscribe to all of our news</span> now</button>",
+        "<select><option>The first of the choices</option><option>Two</option></select>",
+        "<script>w('<div>Buy now, it is cheap</div>');x()</script>",
+        "<script>if (a <b && c == '\"') y('<p>')</script>",
+        "<textarea><b>Write</b> a remark about it here.</textarea>",
+        "<template><template><p>One</p></template><p>Shown to nobody at all.</p></template>",
+        "<svg><g><svg/><text>A label in a drawing</text></g></svg>",
+    ):
+        assert main_text(f"<article>{first}{inside}{last}</article>") == re.sub("<[^>]+>", "", first) + "\n\n" + re.sub("<[^>]+>", "", last), inside
+
+
 def test_op1_cut_is_least():
     random.seed(1)
     for _ in range(200):
