@@ -67,7 +67,7 @@ def term_counts(docs: DataFrame) -> tuple[int, dict[str, int]]:
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 n += 1
-                count.update(vocabulary.intersection((text or "").lower().replace(".", " ").replace(",", " ").split()))
+                count.update(vocabulary.intersection(WORD.findall((text or "").lower())))
         count[""] = n
         yield pa.RecordBatch.from_pydict({"term": list(count), "n": list(count.values())})
 

@@ -228,6 +228,13 @@ def test_op7(spark):
     assert inherited(scanned(spark.createDataFrame([], "doc_id bigint, path string, text string"))).count() == 0
 
 
+def test_op7_counts_the_terms_it_weighs(spark):
+    from framesift.llm.licenses import term_counts
+
+    n, counts = term_counts(spark.createDataFrame([("(the software: by-nc, 4.0)",), ("Version 2.0",), (None,)], "text string"))
+    assert n == 3 and counts == {t: 1 for t in ("the", "software", "by", "nc", "4.0", "version", "2.0")}
+
+
 def test_op7_full_texts_and_headers(spark):
     from framesift.llm.licenses import TEMPLATES
 
