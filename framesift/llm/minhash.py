@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 
 from framesift.llm.common import drop_written, table, written
 from framesift.llm.components import connected_components
-from framesift.llm.wordsets import mixed, shingle_sets
+from framesift.llm.wordsets import mixed, sets_and_words, shingle_sets
 
 ROWS, BANDS = 4, 32  # 128 minima; two sets of similarity 0.75 miss each other with probability (1 - 0.75^4)^32 = 5e-6
 SIMILAR = (75, 100)  # intersection/union of the shingle sets
 LEAST_EQUAL = 75  # of 128 minima; at similarity 0.75 fewer are equal with probability under 1e-5
 BLOCK = 2048  # members of a bucket compared with as many at once
+BLOCK_SHINGLES = 1 << 20  # shingles of a block's members, about: more are cut into more blocks
+STRIP = 1 << 20  # pairs looked at in one step
+SALTS = 256  # parts of a key that many rows share
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -37,7 +40,8 @@ def band_keys(sigs: np.ndarray) -> np.ndarray:
 def signatures(docs: DataFrame) -> DataFrame:
     """docs(doc_id, text) to (doc_id, n_shingles, set_key, sig, bands): a row for each row.
 
-    set_key is equal for equal shingle sets; texts without words have null in set_key, sig and bands.
+    set_key is the SHA-256 of the words in order: texts of one key are the same words, so their shingle sets are equal.
+    Texts without words have null in set_key, sig and bands.
     """
     out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
     rows, bands = ROWS, BANDS
@@ -47,12 +51,12 @@ def signatures(docs: DataFrame) -> DataFrame:
         a, b = (x[:, None] for x in coefficients)
         for batch in batches:
             n, keys, sigs, buckets = [], [], [], []
-            for x in shingle_sets(batch.column(1)):
+            for x, key in sets_and_words(batch.column(1)):
                 n.append(len(x))
-                if not len(x):
-                    keys.append(None), sigs.append(None), buckets.append(None)
+                keys.append(key)
+                if key is None:
+                    sigs.append(None), buckets.append(None)
                     continue
-                keys.append(np.array([len(x), np.add.reduce(x), np.bitwise_xor.reduce(x * (x | np.uint64(1)))], dtype=np.uint64).tobytes())
                 low = (x >> np.uint64(32)).astype(np.uint32)
                 sig = np.full(rows * bands, 0xFFFFFFFF, dtype=np.uint32)
                 for k in range(0, len(low), 1024):
@@ -84,23 +88,34 @@ def _alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar."""
+    """The pairs (a, b) whose whole shingle sets are similar.
+
+    The pairs of one b are dealt to SALTS parts by a. A part gets the text of b once, ahead of those of its pairs, and
+    holds that and one set at a time, however many pairs b has.
+    """
     num, den = SIMILAR
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    both = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    pairs = pairs.withColumn("salt", F.expr(f"cast(pmod(xxhash64(a), {SALTS}) as int)"))
+    heads = pairs.select(F.col("b").alias("doc_id"), "b", "salt", F.lit(0).alias("tail")).distinct()
+    x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"))).join(texts, "doc_id")
+    x = x.select("b", "salt", "tail", "doc_id", "text").repartition("b", "salt").sortWithinPartitions("b", "salt", "tail")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, known = None, {}
         for batch in batches:
-            keep, last, known = [], None, None
-            b = batch.column(1).to_pylist()
-            for i, x in enumerate(shingle_sets(batch.column(2))):
-                if b[i] != last:
-                    last, known = b[i], next(shingle_sets(batch.column(3).slice(i, 1)))
-                both = len(np.intersect1d(x, known, assume_unique=True))
-                keep.append(both > 0 and den * both >= num * (len(x) + len(known) - both))
-            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+            keep = []
+            for b, salt, tail, s in zip(*(batch.column(k).to_pylist() for k in range(3)), shingle_sets(batch.column(4)), strict=True):
+                if group != (b, salt):
+                    group, known = (b, salt), {}
+                if not tail:  # a document whose rows have several texts has several sets
+                    known[s.tobytes()] = s
+                    keep.append(False)
+                    continue
+                both = [(len(np.intersect1d(s, x, assume_unique=True)), len(x)) for x in known.values()]
+                keep.append(any(n > 0 and den * n >= num * (len(s) + m - n) for n, m in both))
+            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(0)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    return x.mapInArrow(run, "a long, b long")
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -122,66 +137,83 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _spanning(pairs: Iterator[tuple[int, np.ndarray]], a: np.ndarray, c: np.ndarray, texts: pa.ChunkedArray) -> list[tuple[int, int]]:
+    """Of pairs (row, rows) those links (a, a) of similar whole sets that connect components c not connected yet."""
+    num, den = SIMILAR
+    codes: list[np.ndarray] | None = None
+    label, links = c.copy(), []
+    for p, q in pairs:
+        q = q[label[q] != label[p]]
+        if not len(q):
+            continue
+        if codes is None:
+            sets = list(shingle_sets(texts))
+            sizes = np.array([len(x) for x in sets])
+            _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+            has = np.zeros(len(codes), dtype=bool)
+            codes = np.split(codes.astype(np.int32), np.cumsum(sizes)[:-1])
+            del sets
+        has[codes[p]] = True
+        both = np.add.reduceat(has[np.concatenate([codes[k] for k in q])], np.cumsum(sizes[q]) - sizes[q], dtype=np.int64)
+        has[codes[p]] = False
+        for k in q[den * both >= num * (sizes[p] + sizes[q] - both)].tolist():
+            if label[k] != label[p]:
+                low, high = sorted((label[k], label[p]))
+                label[label == high] = low
+                links.append((int(a[p]), int(a[k])))
+    return links
+
+
 def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> DataFrame:
     """Of placed(bucket, i, j, own, band, a, c): the rows with a similar signature in another component.
 
     With docs: links (a, b) instead, as few as connect what similar sets connect in each group.
     """
-    least, (num, den) = LEAST_EQUAL, SIMILAR
+    least = LEAST_EQUAL
     names = ["bucket", "i", "j", "own", "band", "a", "c"]
     x, confirm = placed.join(sigs, "a"), docs is not None
     if confirm:
         x = x.join(docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string")), "a")
     x = x.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j")
 
+    def close_pairs(c: np.ndarray, own: np.ndarray | None, s: np.ndarray, band: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Of each row its later partners: in another component (and block, if own is given), with a similar signature,
+        and without a common bucket before band. Rows are taken in strips, so that few pairs are held at once."""
+        n, keys = len(c), band_keys(s)[:, :band].copy()
+        step = max(1, STRIP // n)
+        for p in range(0, n, step):
+            q = min(n, p + step)
+            fresh = c[p:q, None] < c[None, :]
+            if own is not None:
+                fresh &= own[p:q, None] != own[None, :]
+            for k in range(band):  # a pair is compared in its first bucket
+                if not fresh.any():
+                    break
+                fresh &= keys[p:q, k, None] != keys[None, :, k]
+            for r in range(q - p):
+                at = np.flatnonzero(fresh[r])
+                if len(at):
+                    at = at[np.count_nonzero(s[at] == s[p + r], axis=1) >= least]
+                    if len(at):
+                        yield p + r, at
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for g in _groups(batches):
+            c = g.column(6).to_numpy()
+            if c.min() == c.max():
+                continue
             n = g.num_rows
             s = np.frombuffer(b"".join(g.column(7).to_pylist()), dtype=np.uint32).reshape(n, -1)
-            a, c, own = (g.column(k).to_numpy() for k in (5, 6, 3))
-            band, two = int(g.column(4)[0].as_py()), g.column(1)[0].as_py() != g.column(2)[0].as_py()
-            fresh = c[:, None] < c[None, :]
-            if two:
-                fresh &= own[:, None] != own[None, :]
-            if not fresh.any():
-                continue
-            keys = band_keys(s)
-            for k in range(band):  # a pair is compared in its first bucket
-                fresh &= keys[:, k, None] != keys[None, :, k]
-            one, other = np.nonzero(fresh)
-            close = [(s[one[k : k + 65536]] == s[other[k : k + 65536]]).sum(axis=1) >= least for k in range(0, len(one), 65536)]
-            close = np.concatenate(close) if close else np.zeros(0, bool)
-            one, other = one[close], other[close]
-            if not len(one):
-                continue
+            own = g.column(3).to_numpy() if g.column(1)[0].as_py() != g.column(2)[0].as_py() else None
+            pairs = close_pairs(c, own, s, int(g.column(4)[0].as_py()))
             if not confirm:
-                yield from g.take(np.union1d(one, other)).select(names).to_batches()
+                hit = np.zeros(n, dtype=bool)
+                for p, q in pairs:
+                    hit[p] = hit[q] = True
+                if hit.any():
+                    yield from g.select(names).filter(pa.array(hit)).to_batches()
                 continue
-            used = np.union1d(one, other)
-            sets = dict(zip(used.tolist(), shingle_sets(g.column(8).take(used)), strict=True))
-            codes = np.unique(np.concatenate(list(sets.values())), return_inverse=True)[1]
-            sizes = np.array([len(x) for x in sets.values()])
-            codes = dict(zip(sets, np.split(codes, np.cumsum(sizes)[:-1]), strict=True))
-            has = np.zeros(int(sizes.sum()), dtype=bool)
-            lead = {v: v for v in c.tolist()}
-
-            def top(v: int, lead: dict = lead) -> int:
-                while lead[v] != v:
-                    lead[v] = v = lead[lead[v]]
-                return v
-
-            links = []
-            for p, q in zip(np.unique(one).tolist(), np.split(other, np.flatnonzero(one[1:] != one[:-1]) + 1), strict=True):
-                q = q.tolist()
-                has[codes[p]] = True
-                lengths = np.array([len(codes[k]) for k in q])
-                both = np.add.reduceat(has[np.concatenate([codes[k] for k in q])], np.concatenate(([0], np.cumsum(lengths)[:-1])), dtype=np.int64)
-                has[codes[p]] = False
-                for k in np.flatnonzero(den * both >= num * (len(codes[p]) + lengths - both)).tolist():
-                    u, v = top(int(c[p])), top(int(c[q[k]]))
-                    if u != v:
-                        lead[max(u, v)] = min(u, v)
-                        links.append((int(a[p]), int(a[q[k]])))
+            links = _spanning(pairs, g.column(5).to_numpy(), c, g.column(8))
             if links:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*links, strict=True)], names=["a", "b"])
 
@@ -198,7 +230,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     nothing. Rows that repeat a doc_id are one node and share its result. A null doc_id gets a null component_id and is
     kept. No rows give no rows; other columns are ignored.
 
-    1. Equal sets become one class, led by its smallest doc_id: an aggregation, whatever the number of copies.
+    1. Texts of the same words become one class, led by its smallest doc_id: an aggregation, whatever the number of copies.
     2. In each bucket of each band, members are compared with its smallest one only: as many pairs as members.
     3. Components so far. Where a bucket's members are in different ones, members of different components are compared,
        so that no link is lost: in blocks of BLOCK by BLOCK inside a task, each pair in the first bucket that both share.
@@ -206,21 +238,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Pairs are tested by signature, then confirmed on whole sets.
     """
     sigs = written(signatures(docs), "minhash")
-    rows = sigs.where("doc_id is not null")
-    classes = rows.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"))
-    same = rows.where("set_key is not null").join(classes, "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
-    same = written(same, "minhash-classes")
-    reps = written(rows.where("set_key is not null").join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_key"]).select("doc_id", "n_shingles", "sig", "bands"), "minhash-reps")
-    members = reps.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("a"))
+    rows = sigs.where("doc_id is not null and set_key is not null").withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id), {SALTS}) as int)"))
+    parts = rows.groupBy("set_key", "salt").agg(F.min("doc_id").alias("least"))  # so that no task gets all copies of a text
+    classes = parts.join(parts.groupBy("set_key").agg(F.min("least").alias("rep")), "set_key").select("set_key", "salt", "rep")
+    same = written(rows.join(classes, ["set_key", "salt"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-classes")
+    reps = rows.join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_key"])
+    reps = written(reps.select("doc_id", "n_shingles", "sig", "bands"), "minhash-reps")
+    members = reps.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("a"), "n_shingles")
     first = members.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("bucket", "b")
     buckets = written(members.join(first, "bucket"), "minhash-buckets")
     star = buckets.where("a > b").select("a", "b").distinct()
     links = written(_confirmed(written(_alike(star, reps), "minhash-alike"), docs), "minhash-links")
     found = written(connected_components(links), "minhash-found")
 
-    placed = buckets.join(found.withColumnRenamed("node", "a"), "a", "left").select("bucket", "band", "a", F.coalesce("component", "a").alias("c"))
-    mixed_up = placed.groupBy("bucket").agg(F.min("c").alias("lead"), F.max("c").alias("other"), F.count("*").alias("n")).where("lead < other")
-    n = (F.floor((F.col("n") - 1) / BLOCK) + 1).cast("int")
+    placed = buckets.join(found.withColumnRenamed("node", "a"), "a", "left").select("bucket", "band", "a", "n_shingles", F.coalesce("component", "a").alias("c"))
+    mixed_up = placed.groupBy("bucket").agg(F.min("c").alias("lead"), F.max("c").alias("other"), F.count("*").alias("n"), F.sum("n_shingles").alias("shingles")).where("lead < other")
+    n = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
     placed = placed.join(mixed_up.select("bucket", n.alias("blocks")), "bucket").withColumn("own", F.expr("cast(pmod(xxhash64(a), blocks) as int)"))
     placed = placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("bucket", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "band", "a", "c")
@@ -230,7 +263,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     edges = same.where("a > b").unionByName(links).unionByName(links2)
     comps = connected_components(edges)
-    drop_written(buckets)
+    drop_written(same, reps, buckets, placed, near, links, links2, found)
     return (
         sigs.select("doc_id", "n_shingles")
         .join(comps.withColumnRenamed("node", "doc_id"), "doc_id", "left")

@@ -6,6 +6,7 @@ prefix polynomial modulo 2^64, so that a word's hash is a difference of two pref
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,18 +47,27 @@ def text_buffers(column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def shingle_sets(column) -> Iterator[np.ndarray]:
     """The distinct shingle hashes, ascending, of each text of an Arrow string array, in order."""
+    return (x for x, _ in _all_sets(column, False))
+
+
+def sets_and_words(column) -> Iterator[tuple[np.ndarray, bytes | None]]:
+    """shingle_sets() and, of each text, the SHA-256 of its words with one space behind each; None without words."""
+    return _all_sets(column, True)
+
+
+def _all_sets(column, digests: bool) -> Iterator[tuple[np.ndarray, bytes | None]]:
     offsets, data = text_buffers(column)
     known: dict = {}
     n, i = len(offsets) - 1, 0
     while i < n:
         j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + PIECE, side="right")) - 1)
         j = min(j, n)
-        yield from _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], known)
+        yield from _sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], known, digests)
         i = j
 
 
-def _sets(data: np.ndarray, offsets: np.ndarray, known: dict) -> Iterator[np.ndarray]:
-    n, none = len(data), np.zeros(0, np.uint64)
+def _sets(data: np.ndarray, offsets: np.ndarray, known: dict, digests: bool) -> Iterator[tuple[np.ndarray, bytes | None]]:
+    n, none = len(data), (np.zeros(0, np.uint64), None)
     if not n:
         yield from (none for _ in range(len(offsets) - 1))
         return
@@ -89,15 +99,26 @@ def _sets(data: np.ndarray, offsets: np.ndarray, known: dict) -> Iterator[np.nda
             grams *= _M
             grams += words[k : len(words) - WORDS + 1 + k]
         grams = mixed(grams)
+    if digests:  # the words' bytes, a space behind each: the bytes of word k begin at place[k]
+        lengths = ends - starts
+        place = np.concatenate(([0], np.cumsum(lengths + 1)))
+        plain = np.full(int(place[-1]), 32, dtype=np.uint8)
+        real = inside[1:-1]
+        at = np.ones(len(plain), dtype=bool)
+        at[place[1:] - 1] = False
+        plain[at] = low[real]
+        plain = memoryview(plain)
     for a, b in zip(of[:-1].tolist(), of[1:].tolist(), strict=True):
+        if b == a:
+            yield none
+            continue
+        digest = hashlib.sha256(plain[int(place[a]) : int(place[b])]).digest() if digests else None
         if b - a >= WORDS:
             x = np.sort(grams[a : b - WORDS + 1])
-            yield x[np.concatenate(([True], x[1:] != x[:-1]))]
-        elif b > a:
+            yield x[np.concatenate(([True], x[1:] != x[:-1]))], digest
+        else:
             h = np.uint64(b - a)
             with np.errstate(over="ignore"):
                 for w in words[a:b]:
                     h = h * _M + w
-            yield mixed(np.array([h], dtype=np.uint64) ^ np.uint64(0x5555))
-        else:
-            yield none
+            yield mixed(np.array([h], dtype=np.uint64) ^ np.uint64(0x5555)), digest
