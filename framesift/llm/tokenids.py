@@ -3,7 +3,8 @@
 Both merge by rank, and a token's rank is its id. A vocabulary with word ends is the same to the engine once each word
 carries an end mark: U+0000 stands for the mark, and the pair of a last byte and the mark merges before all others.
 Texts with white space or numerals that the libraries' patterns class differently, with U+0000, or with the strings of
-special tokens that the split here does not cover, go to the tokenizers library itself.
+special tokens that the split here does not cover, go to the tokenizers library itself. So do texts with a run of white
+space of RUN characters: the engine's pattern gives up (a panic) on runs of about a million.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from framesift.llm.wordids import WordIds
 
 ODD = re.compile("[\x0b\x0c\x1c-\x1f\x85\u00a0\u1680\u180e\u2000-\u200a\u200b-\u200d\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]")
 END = "\0"
+RUN = 50_000
+SPACES = re.compile(rf"\s{{{RUN}}}")
 # The patterns by which the two vocabularies split texts.
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"""
@@ -66,6 +69,8 @@ class Encoder:
             return np.zeros(0, np.uint32)
         if self.found(text) or not text.isascii() and ODD.search(text) or text.isascii() and re.search("[\x0b\x0c\x1c-\x1f]", text):
             return np.array(self._exact(text), dtype=np.uint32)
+        if len(text) > RUN and SPACES.search(text):
+            return np.array(self._exact(text), dtype=np.uint32)
         if not self.words:
             return np.array(self.engine.encode_ordinary(text), dtype=np.uint32)
         if END in text:

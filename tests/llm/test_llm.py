@@ -270,6 +270,16 @@ def test_token_ids(name, spark, sf_dir):
         assert own.ids(t).tolist() == library.encode(t or "", add_special_tokens=False).ids, repr(t)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_token_ids_of_long_runs(name):
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(P.path(name)), Encoder(vocabulary(P.path(name)))
+    runs = [" " * 1_000_000, " " * 3_000_000, "\n" * 3_000_000, " \n\t" * 20_000, " " * 49_999, "a" * 1_000_000, "7" * 200_000, "!" * 200_000, "中" * 200_000]
+    for t in [f"word {r}a" for r in runs] + [runs[1], " x" * 400_000]:
+        assert np.array_equal(own.ids(t), library.encode(t, add_special_tokens=False).ids), (t[5:9], len(t))
+
+
 def test_word_table_fills_up(monkeypatch):
     """A table that is full is emptied; words that want one slot all find a place."""
     from framesift.llm import wordids
