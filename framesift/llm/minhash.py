@@ -20,6 +20,7 @@ BLOCK = 2048  # members of a bucket compared with as many at once
 BLOCK_SHINGLES = 1 << 20  # shingles of a block's members, about: more are cut into more blocks
 STRIP = 1 << 20  # pairs looked at in one step
 SALTS = 256  # parts of a key that many rows share
+PART = 1000  # pairs of one leader that are compared one after another
 
 
 def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -90,12 +91,12 @@ def _alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose whole shingle sets are similar.
 
-    The pairs of one b are dealt to SALTS parts by a. A part gets the text of b once, ahead of those of its pairs, and
-    holds that and one set at a time, however many pairs b has.
+    The pairs of one b are dealt to parts of about PART by a. A part gets the text of b once, ahead of those of its
+    pairs, and holds that and one set at a time, however many pairs b has.
     """
     num, den = SIMILAR
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pairs = pairs.withColumn("salt", F.expr(f"cast(pmod(xxhash64(a), {SALTS}) as int)"))
+    pairs = pairs.join(pairs.groupBy("b").agg(F.ceil(F.count("*") / PART).alias("parts")), "b").withColumn("salt", F.expr("pmod(xxhash64(a), parts)"))
     heads = pairs.select(F.col("b").alias("doc_id"), "b", "salt", F.lit(0).alias("tail")).distinct()
     x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"))).join(texts, "doc_id")
     x = x.select("b", "salt", "tail", "doc_id", "text").repartition("b", "salt").sortWithinPartitions("b", "salt", "tail")
