@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders, so that a question with other values has the same template.
 Windows of five words, at every word of documents and items, are joined by hash (items of fewer words as a whole); each
 hit fixes an alignment of a document with an item, along which words are compared, and the values in the slots must map
-one to one.
+one to one. Windows of placeholders alone, of which tables of numbers are full, are no hits: the windows beside them
+are. Items that have no other words are sought with their own values.
 """
 
 from __future__ import annotations
@@ -60,11 +61,16 @@ def _words(x: DataFrame) -> DataFrame:
 
 
 def _window(words: str, n: int) -> Column:
-    """Hash of the n words at the place at, given the hashes of words; null where the text ends before."""
+    """Hash of the n words at the place at, given the hashes of words; null where the text ends before, and for
+    placeholders alone."""
+    marks = [F.xxhash64(F.lit(x)) for x in (NAME, NUMBER, UNIT)]
+    worded = F.lit(words == "hp")
+    for k in range(n):
+        worded = worded | ~F.get(F.col(words), F.col("at") + k).isin(marks)
     first = F.get(F.col(words), F.col("at"))
     # the word before decides whether a word is a unit, and it is outside the window
     first = F.when(first.isin([F.xxhash64(F.lit(u)) for u in (*UNITS.split(), UNIT)]), F.xxhash64(F.lit(UNIT))).otherwise(first)
-    return F.when(F.col("at") + n <= F.size(words), F.xxhash64(first, *[F.get(F.col(words), F.col("at") + k) for k in range(1, n)]))
+    return F.when((F.col("at") + n <= F.size(words)) & worded, F.xxhash64(first, *[F.get(F.col(words), F.col("at") + k) for k in range(1, n)]))
 
 
 def _hashes(words: str) -> Column:
@@ -72,8 +78,8 @@ def _hashes(words: str) -> Column:
 
 
 def _bare(template: Column) -> Column:
-    """Whether a template is of fewer words than a window and all of them placeholders."""
-    return (F.size(template) < WINDOW) & F.forall(template, lambda w: w.isin(NAME, NUMBER, UNIT))
+    """Whether all words of a template are placeholders."""
+    return F.forall(template, lambda w: w.isin(NAME, NUMBER, UNIT))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -81,18 +87,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_id, n_words (of the item), longest_run, n_matched (both along the best alignment), n_changed (slots with
     another value than the item's). Null and empty texts and null ids have no leaks; repeated rows of a document give one
-    row; no rows give no rows; other columns are ignored. An item of fewer words than a window must occur as a whole, and
-    with its own values if it has no other words than numbers, names and units.
+    row; no rows give no rows; other columns are ignored. An item of fewer words than a window must occur as a whole. One
+    that has no other words than numbers, names and units must occur with its own values.
     """
     items = written(_words(benchmark.where("item_id is not null").select("item_id", "text").dropDuplicates()), "items")
     # names may have lost their case, or words won it: windows also match with names taken as words
     at_items = _once(items, ht=_hashes("template"), hn=_hashes("named"), hp=_hashes("plain"), bare=_bare(F.split("template", " ")))
     n_windows, whole, bare = items.select("plain", _bare(F.split("template", " ")).alias("bare"), F.size(F.split("plain", " ")).alias("n")).agg(
-        F.coalesce(F.sum("n"), F.lit(0)), *[F.collect_set(F.when((F.col("n") < WINDOW) & (F.col("plain") != "") & c, F.col("n"))) for c in (~F.col("bare"), F.col("bare"))]
-    ).first()  # the lengths of short items: at most four of either kind
+        F.coalesce(F.sum("n"), F.lit(0)), F.collect_set(F.when((F.col("n") < WINDOW) & (F.col("plain") != "") & ~F.col("bare"), F.col("n"))), F.collect_set(F.when((F.col("plain") != "") & F.col("bare"), F.least("n", F.lit(WINDOW))))
+    ).first()  # the lengths of windows: at most four of short items and five of those without words
     at_items = at_items.select("item_id", "ht", "hn", "hp", "bare", F.size("ht").alias("n"), F.posexplode("ht").alias("at", "w"))
     at_items = at_items.select("item_id", F.col("at").alias("at_item"), F.explode(F.array(
-        *[_window(c, WINDOW) for c in ("ht", "hn")], *[F.when((F.col("n") == n) & ~F.col("bare"), _window(c, n)) for n in whole for c in ("ht", "hn")], *[F.when((F.col("n") == n) & F.col("bare"), _window("hp", n)) for n in bare]
+        *[_window(c, WINDOW) for c in ("ht", "hn")], *[F.when((F.col("n") == n) & ~F.col("bare"), _window(c, n)) for n in whole for c in ("ht", "hn")], *[F.when((F.least("n", F.lit(WINDOW)) == n) & F.col("bare"), _window("hp", n)) for n in bare]
     )).alias("h")).where("h is not null").distinct()
     if 2 * n_windows <= BROADCAST_WINDOWS:
         at_items = F.broadcast(at_items)
@@ -103,20 +109,20 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     h = [_window(c, n) for n in (WINDOW, *whole) for c in ("ht", "hn")] + [_window("hp", n) for n in bare]
     x = x.select("doc_id", "at", F.explode(F.array(*h)).alias("h")).where("h is not null")
     found = x.join(at_items, "h").select("doc_id", "item_id", (F.col("at") - F.col("at_item")).alias("shift")).distinct()
-    found = written(found, "leak-hits")
+    # the shifts of a document along an item are fewer than the words of both; the text is fetched once for all of them
+    found = written(found.groupBy("doc_id", "item_id").agg(F.collect_set("shift").alias("shifts")), "leak-hits")
 
     x = _words(found.join(docs.select("doc_id", "text"), "doc_id")).join(items.select("item_id", F.col("plain").alias("item_plain"), F.col("template").alias("item_template")), "item_id")
     x = _once(x, **{c: F.split(c, " ") for c in ("plain", "template", "item_plain", "item_template")})
-    at = "if(shift + i < 0, size(plain) + 1, shift + i + 1)"
-    x = _once(x, m=F.expr(f"transform(sequence(0, size(item_plain) - 1), i -> coalesce(try_element_at(plain, {at}) = item_plain[i] or try_element_at(template, {at}) = item_template[i], false))"))
-    x = x.withColumn("longest_run", F.expr("aggregate(m, named_struct('c', 0, 'b', 0), (s, y) -> named_struct('c', if(y, s.c + 1, 0), 'b', greatest(s.b, if(y, s.c + 1, 0))), s -> s.b)"))
-    x = x.withColumn("n_matched", F.expr("size(filter(m, y -> y))"))
-    x = _once(x, slots=F.expr("transform(filter(sequence(0, size(m) - 1), i -> m[i] and item_plain[i] <> item_template[i]), i -> named_struct('a', concat(item_template[i], item_plain[i]), 'b', concat(item_template[i], plain[shift + i])))"))
-    same = F.expr("size(array_distinct(slots)) = size(array_distinct(slots.a)) and size(array_distinct(slots)) = size(array_distinct(slots.b))")
-    n = F.size("item_plain")
-    own = ~_bare(F.col("item_template")) | F.expr("forall(slots, s -> s.a = s.b)")
-    leak = same & own & ((F.col("longest_run") >= F.least(F.lit(RUN), n)) | (F.col("n_matched") >= COVER * n))
-    x = x.where(leak).select("doc_id", "item_id", F.struct("n_matched", "longest_run", n.alias("n_words"), F.expr("size(filter(slots, s -> s.a <> s.b))").alias("n_changed")).alias("s"))
+    at = "if(s + i < 0, size(plain) + 1, s + i + 1)"
+    x = _once(x, along=F.expr(f"transform(shifts, s -> named_struct('s', s, 'm', transform(sequence(0, size(item_plain) - 1), i -> coalesce(try_element_at(plain, {at}) = item_plain[i] or try_element_at(template, {at}) = item_template[i], false))))"))
+    run = "aggregate(y.m, named_struct('c', 0, 'b', 0), (s, v) -> named_struct('c', if(v, s.c + 1, 0), 'b', greatest(s.b, if(v, s.c + 1, 0))), s -> s.b)"
+    slot = "named_struct('a', concat(item_template[i], item_plain[i]), 'b', concat(item_template[i], plain[y.s + i]))"
+    slots = f"array_distinct(transform(filter(sequence(0, size(y.m) - 1), i -> y.m[i] and item_plain[i] <> item_template[i]), i -> {slot}))"
+    x = _once(x, along=F.expr(f"transform(along, y -> named_struct('n_matched', size(filter(y.m, v -> v)), 'longest_run', {run}, 'n_words', size(item_plain), 'slots', {slots}))"), own=_bare(F.col("item_template")))
+    same = "size(y.slots) = size(array_distinct(y.slots.a)) and size(y.slots) = size(array_distinct(y.slots.b)) and (not own or forall(y.slots, v -> v.a = v.b))"
+    leak = f"{same} and (y.longest_run >= least({RUN}, y.n_words) or y.n_matched >= {COVER} * y.n_words)"
+    x = x.select("doc_id", "item_id", F.expr(f"array_max(transform(filter(along, y -> {leak}), y -> named_struct('n_matched', y.n_matched, 'longest_run', y.longest_run, 'n_words', y.n_words, 'n_changed', size(filter(y.slots, v -> v.a <> v.b)))))").alias("s")).where("s is not null")
     return x.groupBy("doc_id", "item_id").agg(F.max("s").alias("s")).select("doc_id", "item_id", "s.n_words", "s.longest_run", "s.n_matched", "s.n_changed")
 
 

@@ -6,12 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framesift.llm.common import drop_written, table, written
 from framesift.llm.components import connected_components
-from framesift.llm.wordsets import mixed, sets_and_words, shingle_sets
+from framesift.llm.wordsets import sets_and_words, shingle_sets
 
 ROWS, BANDS = 4, 32  # 128 minima; two sets of similarity 0.75 miss each other with probability (1 - 0.75^4)^32 = 5e-6
 SIMILAR = (75, 100)  # intersection/union of the shingle sets
@@ -28,35 +28,35 @@ def _coefficients(n: int) -> tuple[np.ndarray, np.ndarray]:
     return rng.integers(0, 1 << 32, n, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, n, dtype=np.uint32)
 
 
-def band_keys(sigs: np.ndarray) -> np.ndarray:
-    """The bucket of each signature in each band."""
-    salt = (np.arange(BANDS, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    parts = sigs.reshape(len(sigs), BANDS, ROWS).astype(np.uint64)
-    h = np.broadcast_to(salt, parts.shape[:2])
-    for k in range(ROWS):
-        h = mixed(h ^ parts[:, :, k])
-    return h
+def _slices(sigs: np.ndarray) -> np.ndarray:
+    """The minima of each band of each signature, as pairs of 64 bits."""
+    return np.ascontiguousarray(sigs).view(np.uint64).reshape(len(sigs), BANDS, -1)
+
+
+def _buckets(sig: Column) -> Column:
+    """The bucket of a signature in each band: a hash of the band's minima."""
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda k: F.xxhash64(k, F.substring(sig, k * (4 * ROWS) + 1, F.lit(4 * ROWS))))
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """docs(doc_id, text) to (doc_id, n_shingles, set_key, sig, bands): a row for each row.
+    """docs(doc_id, text) to (doc_id, n_shingles, set_key, sig): a row for each row.
 
     set_key is the SHA-256 of the words in order: texts of one key are the same words, so their shingle sets are equal.
-    Texts without words have null in set_key, sig and bands.
+    Texts without words have null in set_key and sig.
     """
-    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    out = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_key", pa.binary()), ("sig", pa.binary())])
     rows, bands = ROWS, BANDS
     coefficients = _coefficients(ROWS * BANDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = (x[:, None] for x in coefficients)
         for batch in batches:
-            n, keys, sigs, buckets = [], [], [], []
+            n, keys, sigs = [], [], []
             for x, key in sets_and_words(batch.column(1)):
                 n.append(len(x))
                 keys.append(key)
                 if key is None:
-                    sigs.append(None), buckets.append(None)
+                    sigs.append(None)
                     continue
                 low = (x >> np.uint64(32)).astype(np.uint32)
                 sig = np.full(rows * bands, 0xFFFFFFFF, dtype=np.uint32)
@@ -65,58 +65,72 @@ def signatures(docs: DataFrame) -> DataFrame:
                     h += b
                     np.minimum(sig, h.min(axis=1), out=sig)
                 sigs.append(sig.tobytes())
-                buckets.append(band_keys(sig[None])[0].view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary()), pa.array(buckets, pa.list_(pa.int64()))], schema=out)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(sigs, pa.binary())], schema=out)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
 
 
-def _alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose signatures agree in LEAST_EQUAL minima, and whose sizes allow the similarity."""
-    least, (num, den) = LEAST_EQUAL, SIMILAR
-    x = reps.select(F.col("doc_id").alias("a"), F.col("sig").alias("sig_a"), F.col("n_shingles").alias("n_a"))
-    y = reps.select(F.col("doc_id").alias("b"), F.col("sig").alias("sig_b"), F.col("n_shingles").alias("n_b"))
-    both = pairs.join(x, "a").join(y, "b").where(f"{den} * least(n_a, n_b) >= {num} * greatest(n_a, n_b)")
+def _parts(pairs: DataFrame, rows: DataFrame, *values: str) -> DataFrame:
+    """pairs(a, b, n), rows(doc_id, values) to (b, salt, tail, doc_id, n, values), partitioned and sorted by the first three.
+
+    The pairs of a b that is in large buckets (of n members) are dealt to parts of about PART by a. A part has the values of
+    b ahead (tail 0) and those of its a behind (tail 1): b's are sent once a part, not once a pair, and no part is large.
+    """
+    pairs = pairs.withColumn("salt", F.expr(f"pmod(xxhash64(a), ceil(n / {PART}))"))
+    heads = pairs.select(F.col("b").alias("doc_id"), "b", "salt", F.lit(0).alias("tail"), F.lit(0).cast("long").alias("n")).distinct()
+    x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"), "n")).join(rows, "doc_id")
+    return x.select("b", "salt", "tail", "doc_id", "n", *values).repartition("b", "salt").sortWithinPartitions("b", "salt", "tail")
+
+
+def _tested(parts: DataFrame, decoded, alike) -> DataFrame:
+    """The pairs (a, b, n) of _parts() for which alike(one of b's values, a's value) holds; decoded(batch): its rows' (key, value).
+
+    A document whose rows have several texts has several values; equal ones, by key, are held once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, known = None, {}
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            s, t = (np.frombuffer(b"".join(c.to_pylist()), dtype=np.uint32).reshape(batch.num_rows, -1) for c in (batch.column(2), batch.column(3)))
-            yield batch.select([0, 1]).filter(pa.array((s == t).sum(axis=1) >= least))
+            keep = []
+            for b, salt, tail, (key, value) in zip(*(batch.column(k).to_pylist() for k in range(3)), decoded(batch), strict=True):
+                if part != (b, salt):
+                    part, known = (b, salt), {}
+                if not tail:
+                    known[key] = value
+                keep.append(bool(tail) and any(alike(x, value) for x in known.values()))
+            yield pa.RecordBatch.from_arrays([batch.column(k) for k in (3, 0, 4)], names=["a", "b", "n"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "sig_a", "sig_b").mapInArrow(run, "a long, b long")
+    return parts.mapInArrow(run, "a long, b long, n long")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole shingle sets are similar.
+def _alike(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose signatures agree in LEAST_EQUAL minima, and whose sizes allow the similarity."""
+    least, (num, den) = LEAST_EQUAL, SIMILAR
 
-    The pairs of one b are dealt to parts of about PART by a. A part gets the text of b once, ahead of those of its
-    pairs, and holds that and one set at a time, however many pairs b has.
-    """
+    def decoded(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for sig, n in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
+            yield (sig, n), (np.frombuffer(sig, dtype=np.uint32), n)
+
+    def alike(x: tuple, y: tuple) -> bool:
+        return den * min(x[1], y[1]) >= num * max(x[1], y[1]) and np.count_nonzero(x[0] == y[0]) >= least
+
+    return _tested(_parts(pairs, reps.select("doc_id", "sig", "n_shingles"), "sig", "n_shingles"), decoded, alike)
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs whose whole shingle sets are similar."""
     num, den = SIMILAR
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    pairs = pairs.join(pairs.groupBy("b").agg(F.ceil(F.count("*") / PART).alias("parts")), "b").withColumn("salt", F.expr("pmod(xxhash64(a), parts)"))
-    heads = pairs.select(F.col("b").alias("doc_id"), "b", "salt", F.lit(0).alias("tail")).distinct()
-    x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"))).join(texts, "doc_id")
-    x = x.select("b", "salt", "tail", "doc_id", "text").repartition("b", "salt").sortWithinPartitions("b", "salt", "tail")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, known = None, {}
-        for batch in batches:
-            keep = []
-            for b, salt, tail, s in zip(*(batch.column(k).to_pylist() for k in range(3)), shingle_sets(batch.column(4)), strict=True):
-                if group != (b, salt):
-                    group, known = (b, salt), {}
-                if not tail:  # a document whose rows have several texts has several sets
-                    known[s.tobytes()] = s
-                    keep.append(False)
-                    continue
-                both = [(len(np.intersect1d(s, x, assume_unique=True)), len(x)) for x in known.values()]
-                keep.append(any(n > 0 and den * n >= num * (len(s) + m - n) for n, m in both))
-            yield pa.RecordBatch.from_arrays([batch.column(3), batch.column(0)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+    def decoded(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for x in shingle_sets(batch.column(5)):
+            yield x.tobytes(), x
+
+    def alike(x: np.ndarray, y: np.ndarray) -> bool:
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return both > 0 and den * both >= num * (len(x) + len(y) - both)
 
-    return x.mapInArrow(run, "a long, b long")
+    return _tested(_parts(pairs, texts, "text"), decoded, alike)
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -180,7 +194,7 @@ def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> Data
     def close_pairs(c: np.ndarray, own: np.ndarray | None, s: np.ndarray, band: int) -> Iterator[tuple[int, np.ndarray]]:
         """Of each row its later partners: in another component (and block, if own is given), with a similar signature,
         and without a common bucket before band. Rows are taken in strips, so that few pairs are held at once."""
-        n, keys = len(c), band_keys(s)[:, :band].copy()
+        n, keys = len(c), _slices(s)[:, :band]
         step = max(1, STRIP // n)
         for p in range(0, n, step):
             q = min(n, p + step)
@@ -190,7 +204,7 @@ def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> Data
             for k in range(band):  # a pair is compared in its first bucket
                 if not fresh.any():
                     break
-                fresh &= keys[p:q, k, None] != keys[None, :, k]
+                fresh &= (keys[p:q, None, k] != keys[None, :, k]).any(axis=2)
             for r in range(q - p):
                 at = np.flatnonzero(fresh[r])
                 if len(at):
@@ -242,14 +256,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = sigs.where("doc_id is not null and set_key is not null").withColumn("salt", F.expr(f"cast(pmod(xxhash64(doc_id), {SALTS}) as int)"))
     parts = rows.groupBy("set_key", "salt").agg(F.min("doc_id").alias("least"))  # so that no task gets all copies of a text
     classes = parts.join(parts.groupBy("set_key").agg(F.min("least").alias("rep")), "set_key").select("set_key", "salt", "rep")
-    same = written(rows.join(classes, ["set_key", "salt"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-classes")
-    reps = rows.join(same.select(F.col("b").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "set_key"])
-    reps = written(reps.select("doc_id", "n_shingles", "sig", "bands"), "minhash-reps")
-    members = reps.select(F.posexplode("bands").alias("band", "bucket"), F.col("doc_id").alias("a"), "n_shingles")
-    first = members.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("most")).where("b < most").select("bucket", "b")
+    led = rows.join(classes, ["set_key", "salt"])
+    same = written(led.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct(), "minhash-classes")
+    reps = led.where("doc_id = rep").dropDuplicates(["set_key", "salt", "doc_id"])  # within the join's partitions
+    reps = written(reps.select("doc_id", "n_shingles", "sig"), "minhash-reps")
+    members = reps.select(F.posexplode(_buckets(F.col("sig"))).alias("band", "bucket"), F.col("doc_id").alias("a"), "n_shingles")
+    first = members.groupBy("bucket").agg(F.min("a").alias("b"), F.max("a").alias("most"), F.count("*").alias("n")).where("b < most").select("bucket", "b", "n")
     buckets = written(members.join(first, "bucket"), "minhash-buckets")
-    star = buckets.where("a > b").select("a", "b").distinct()
-    links = written(_confirmed(written(_alike(star, reps), "minhash-alike"), docs), "minhash-links")
+    star = buckets.where("a > b").groupBy("a", "b").agg(F.max("n").alias("n"))
+    near = written(_alike(star, reps), "minhash-alike")
+    links = written(_confirmed(near, docs).select("a", "b"), "minhash-links")
+    drop_written(near)
     found = written(connected_components(links), "minhash-found")
 
     placed = buckets.join(found.withColumnRenamed("node", "a"), "a", "left").select("bucket", "band", "a", "n_shingles", F.coalesce("component", "a").alias("c"))
@@ -262,7 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     near = written(_between(placed, reps.select(F.col("doc_id").alias("a"), "sig"), None), "minhash-near")
     links2 = written(_between(near, reps.select(F.col("doc_id").alias("a"), "sig"), docs), "minhash-links")
 
-    edges = same.where("a > b").unionByName(links).unionByName(links2)
+    edges = same.unionByName(links).unionByName(links2)
     comps = connected_components(edges)
     drop_written(same, reps, buckets, placed, near, links, links2, found)
     return (

@@ -162,6 +162,22 @@ def test_op3_names_without_case(spark):
     assert got == {0: 0, 1: 0, 2: 0, 3: 1, 4: 1}
 
 
+def test_op3_numbers_alone(spark, monkeypatch):
+    """Tables of numbers meet items of numbers only with the same values; changed values are found beside words."""
+    from framesift.llm import decontam
+
+    random.seed(5)
+    numbers = [str(random.randrange(10**6)) for _ in range(60)]
+    items = {1: " ".join(numbers), 2: "the sum of the numbers " + " ".join(numbers[:20]) + " is asked for here"}
+    hits = []
+    monkeypatch.setattr(decontam, "written", lambda df, what: (hits.append(df.count()) if what == "leak-hits" else None, df)[1])
+    other = " ".join(str(random.randrange(10**6)) for _ in range(3000))
+    docs = {1: other, 2: "see " + items[1] + " there", 3: items[2].replace(numbers[3], "5").replace(numbers[7], "6"), 4: "so " + items[2], 5: "lorem ipsum " * 20_000 + items[2]}
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id): r.n_changed for r in leaks(spark.createDataFrame(list(docs.items()), "doc_id bigint, text string"), bench).collect()}
+    assert got == {(2, 1): 0, (3, 2): 2, (4, 2): 0, (5, 2): 0} and hits == [4]
+
+
 def test_op3_finds_every_copy(spark, sf_dir):
     docs, bench = table(spark, sf_dir, "documents").collect(), table(spark, sf_dir, "benchmark").collect()
     flat = lambda t: " " + " ".join(re.findall(r"[^\W_]+", t.lower())) + " "
