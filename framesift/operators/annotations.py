@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from framesift.functions import columns as C
 
+# The managed tags of box checks, in their order.
+BOX_TAGS = ("bad_box", "changed_box")
+
 
 def bounds(boxes: DataFrame, tol: float = 0.001, clip: float = 0.02) -> DataFrame:
     """boxes(..., box) with issue, action, overflow, overlap and clipped."""
@@ -30,6 +33,28 @@ def iou_partners(boxes: DataFrame, least: float = 0.9) -> DataFrame:
     return g.where("e.best is not null").select("sample_id", "label", F.col("e.all.idx").alias("idx"), (-F.col("e.best.neg")).alias("partner"), F.col("e.best.iou").alias("iou"))
 
 
+def box_issues(boxes: DataFrame, tol: float = 0.001, clip: float = 0.02, least: float = 0.9) -> DataFrame:
+    """boxes(sample_id, idx, label, box) to a row for each issue: (sample_id, idx, label, issue, action, partner, iou).
+
+    Bounds issues have the action that bounds() decides; high_iou issues name the partner, and have the same box's action.
+    """
+    x = bounds(boxes, tol, clip).select("sample_id", "idx", "label", "issue", "action")
+    none = [F.lit(None).cast("bigint").alias("partner"), F.lit(None).cast("double").alias("iou")]
+    twins = iou_partners(boxes, least).join(x.select("sample_id", "idx", "action"), ["sample_id", "idx"])
+    twins = twins.select("sample_id", "idx", "label", F.lit("high_iou").alias("issue"), "action", F.col("partner").cast("bigint").alias("partner"), "iou")
+    return x.where("issue is not null").select("sample_id", "idx", "label", "issue", "action", *none).unionByName(twins)
+
+
+def plan_tags(samples: DataFrame, issues: DataFrame) -> DataFrame:
+    """samples(sample_id, tags) with new_tags: bad_box for samples with an issue, changed_box for those with a box to be
+    clipped or deleted, and neither for others; and whether that is a change."""
+    g = issues.groupBy("sample_id").agg(F.max(F.col("action") != "keep").alias("edits"))
+    x = samples.join(g, "sample_id", "left")
+    want = F.array_compact(F.array(F.when(F.col("edits").isNotNull(), F.lit(BOX_TAGS[0])), F.when(F.col("edits"), F.lit(BOX_TAGS[1]))))
+    x = x.withColumn("new_tags", C.with_managed(F.col("tags"), BOX_TAGS, want)).drop("edits")
+    return x.withColumn("changed", ~F.col("new_tags").eqNullSafe(C.tags_or_empty(F.col("tags"))))
+
+
 def edited(samples: DataFrame, edits: DataFrame) -> DataFrame:
     """samples(sample_id, dets array<struct<box,...>>) after edits(sample_id, idx, box): a box replaces, null deletes.
 
@@ -85,20 +110,29 @@ def perfect_matching(a: list, b: list, tol: float) -> list[int] | None:
         return None
     fits = [[j for j, y in enumerate(b) if all(abs(p - q) <= tol for p, q in zip(x, y, strict=True))] for x in a]
     owner: dict[int, int] = {}
-
-    def place(i: int, seen: set[int]) -> bool:
-        for j in fits[i]:
-            if j not in seen:
-                seen.add(j)
-                if j not in owner or place(owner[j], seen):
-                    owner[j] = i
-                    return True
-        return False
-
-    if not all(place(i, set()) for i in range(len(a))):
-        return None
-    back = {i: j for j, i in owner.items()}
-    return [back[i] for i in range(len(a))]
+    place: dict[int, int] = {}
+    for start in range(len(a)):  # an augmenting path from each box, breadth first: no recursion
+        came: dict[int, int] = {}  # b's box: the box of a that it was reached from
+        queue, end = [start], None
+        while queue and end is None:
+            following = []
+            for i in queue:
+                for j in fits[i]:
+                    if j not in came:
+                        came[j] = i
+                        if j not in owner:
+                            end = j
+                            break
+                        following.append(owner[j])
+                if end is not None:
+                    break
+            queue = following
+        if end is None:
+            return None
+        while end is not None:
+            i = came[end]
+            owner[end], place[i], end = i, end, place.get(i)
+    return [place[i] for i in range(len(a))]
 
 
 def greedy_matching(a: list, b: list, tol: float) -> bool:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framesift.functions.columns import DUP_TAGS, tags_or_empty, with_managed
+from framesift.operators.similarity import clusters
 
 
 def keeper_rank() -> Column:
@@ -60,6 +61,38 @@ def plan(samples: DataFrame, exact: DataFrame, near: DataFrame) -> DataFrame:
     return x.withColumn("changed", ~F.col("new_tags").eqNullSafe(tags_or_empty(F.col("tags"))) | (F.col("new_group") != F.coalesce("dup_group", F.lit(""))) | (F.col("new_of") != F.coalesce("dup_of", F.lit(""))))
 
 
+def near_roles(samples: DataFrame, exact: DataFrame, k: int = 0) -> DataFrame:
+    """Roles in groups of near hashes (phash) among the samples that no exact group drops."""
+    rest = samples.join(exact.where("role = 'drop'").select("sample_id"), "sample_id", "left_anti")
+    rest = rest.join(clusters(rest, k), "sample_id")
+    return group_roles(rest, "near_key", "dup_near_keep", "dup_near_drop", "near")
+
+
+def full_plan(samples: DataFrame, k: int = 0) -> DataFrame:
+    """plan() of exact groups by sha256 and then of near groups by phash over what they leave."""
+    exact = group_roles(samples, "sha256", "dup_repeat_keep", "dup_repeat_drop", "exact")
+    return plan(samples, exact, near_roles(samples, exact, k))
+
+
+def plan_counts(planned: DataFrame) -> DataFrame:
+    """One row of a plan: samples, changed, and stale: samples with tags of duplicates that are in no group any more."""
+    stale = F.exists(tags_or_empty(F.col("tags")), lambda t: t.isin(*DUP_TAGS)) & F.col("in_exact").isNull() & F.col("in_near").isNull()
+    return planned.agg(F.count("*").alias("samples"), F.count_if("changed").alias("changed"), F.count_if(stale).alias("stale"))
+
+
+def report(roles: DataFrame, kind: str) -> DataFrame:
+    """Rows of a report on group_roles(): each member with its action (keep, drop, member) and its keeper."""
+    return roles.select(
+        F.lit(kind).alias("kind"), F.coalesce("role", F.lit("member")).alias("action"), F.col("group_id").alias("dup_group"), "sample_id", "filepath",
+        F.col("keeper.g").alias("kept_sample_id"), F.coalesce("keeper.f", F.lit("")).alias("kept_filepath"),
+    )
+
+
+def report_order() -> list[Column]:
+    """The order of a report: kind, group, keepers first, path, id."""
+    return [F.col("kind"), F.col("dup_group"), F.when(F.col("action") == "keep", 0).otherwise(1), F.col("filepath"), F.col("sample_id")]
+
+
 def delete_ids(planned: DataFrame) -> DataFrame:
     """Samples that drop and whose planned tags hold no keep tag."""
     drop = (F.col("exact_role") == "drop") | (F.col("near_role") == "drop")

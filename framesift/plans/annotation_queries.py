@@ -109,11 +109,6 @@ def bounds_summary(spark, d):
     return x.agg(F.count("*").alias("boxes"), F.count_distinct("sample_id").alias("samples"))
 
 
-@query("sample_plan_tags", f"{_B} select sample_id, max(issue is not null) as bad_box, max(action <> 'keep') as changed_box from b group by 1")
-def sample_tags(spark, d):
-    return A.bounds(boxes(spark, d)).groupBy("sample_id").agg(F.max(F.col("issue").isNotNull()).alias("bad_box"), F.max(F.col("action") != "keep").alias("changed_box"))
-
-
 @query("box_iou_partners", f"""with {BOXES_SQL}, p as (select a.sample_id, a.label, a.idx, b.idx as partner, greatest(least(a.x + a.w, b.x + b.w) - greatest(a.x, b.x), 0.0) * greatest(least(a.y + a.h, b.y + b.h) - greatest(a.y, b.y), 0.0) as i, a.w * a.h + b.w * b.h as s
  from boxes a join boxes b on a.sample_id = b.sample_id and a.label = b.label and a.idx <> b.idx where a.w > 0 and a.h > 0 and b.w > 0 and b.h > 0)
 select sample_id, label, idx, partner from p where i / (s - i) >= 0.5 qualify row_number() over (partition by sample_id, label, idx order by i / (s - i) desc, partner) = 1""")

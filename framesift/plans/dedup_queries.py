@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from framesift.operators import dedup, matching, similarity
@@ -41,23 +40,6 @@ def sticky_roles(spark, d):
     return _exact(spark, d, True).select("sample_id", "group_id", "role", "dup_of")
 
 
-_NO_NEAR = "sample_id bigint, tags array<string>, role string, group_id string, dup_of string, is_keep boolean"
-
-
-@query("dedup_plan_tags", f"""{_STICKY}, w as (select s.sample_id, s.tags, role, r.sample_id is not null as hit from samples s left join roles r using (sample_id)),
-n as (select sample_id, tags, list_filter(['dup_repeat', 'dup_repeat_keep', 'dup_repeat_drop'], lambda t: hit and (t = 'dup_repeat' or t = 'dup_repeat_' || role)) as want from w),
-p as (select sample_id, tags, case when list_filter(tags, lambda t: t like 'dup_%') = want then tags else list_filter(tags, lambda t: t not like 'dup_%') || want end as new from n)
-select sample_id, array_to_string(new, ',') as new_tags from p where new is distinct from tags""")
-def plan_tags(spark, d):
-    p = dedup.plan(samples(spark, d, True), _exact(spark, d, True), spark.createDataFrame([], _NO_NEAR))
-    return p.where(~F.col("new_tags").eqNullSafe(F.col("tags"))).select("sample_id", F.array_join("new_tags", ",").alias("new_tags"))
-
-
-@query("dedup_delete_ids", f"{_STICKY} select sample_id from roles where role = 'drop'")
-def delete_ids(spark, d):
-    return dedup.delete_ids(dedup.plan(samples(spark, d, True), _exact(spark, d, True), spark.createDataFrame([], _NO_NEAR)))
-
-
 @query("dedup_report_shards", f"{_EXACT} select ((dense_rank() over (order by group_id) - 1) // 20)::bigint as shard, group_id, sample_id, role from roles")
 def report_shards(spark, d):
     return dedup.report_shards(_exact(spark, d), 20)
@@ -189,9 +171,3 @@ def import_counts(spark, d):
 def group_paths(spark, d):
     x = table(spark, d, "documents").groupBy(F.sha2("text", 256).alias("sha256")).agg(F.sort_array(F.collect_set(F.concat(F.lit("p"), F.col("doc_id").cast("string")))).alias("p"), F.count("*").alias("n"))
     return x.where("n > 1").select("sha256", F.array_join("p", ",").alias("paths"))
-
-
-@query("task_chunks", "select source, ((row_number() over (partition by source order by doc_id) - 1) // 16)::bigint as chunk, doc_id from documents")
-def task_chunks(spark, d):
-    w = Window.partitionBy("source").orderBy("doc_id")
-    return table(spark, d, "documents").select("source", F.floor((F.row_number().over(w) - 1) / 16).cast("bigint").alias("chunk"), "doc_id")

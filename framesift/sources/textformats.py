@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from framesift.functions.columns import finite
+from framesift.functions.keypoints import face_box
 
-def parse_yolo(files: DataFrame, key: str, strict: tuple[int, int] | None = None, slack: float = 5.0) -> DataFrame:
+
+def parse_yolo(files: DataFrame, key: str, strict: tuple[int, int] | None = None, slack: float = 5.0, classes: int | None = None) -> DataFrame:
     """files(key, text) of lines "class cx cy w h" to (key, line, class_id, box, parse_error), a row for each line.
 
     One bad line makes the whole file an error: its rows have no class and box. Blank files give no rows (unlabelled).
     Numbers must be finite, sizes positive. Lenient: the class may be written as a number with a fraction of zero.
     strict=(width, height): the class is an integer literal, and a box at most slack pixels outside is clamped.
+    classes: the length of the class list; a class beyond it is an error.
     """
     x = files.select(key, F.posexplode(F.split(F.col("text"), "\r?\n")).alias("line", "raw")).where("trim(raw) <> ''")
     p = F.split(F.trim(F.regexp_replace("raw", r"\s+", " ")), " ")
@@ -20,7 +24,7 @@ def parse_yolo(files: DataFrame, key: str, strict: tuple[int, int] | None = None
     cls = F.get("p", F.lit(0)).try_cast("int") if strict else F.get("n", F.lit(0)).cast("int")
     cx, cy, w, h = (F.get("n", F.lit(k)) for k in range(1, 5))
     ok = (F.size("n") == 5) & F.forall("n", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e9)) & (w > 0) & (h > 0) & cls.isNotNull() & (cls >= 0)
-    ok = ok & (F.get("n", F.lit(0)) == F.floor(F.get("n", F.lit(0))))
+    ok = ok & (F.get("n", F.lit(0)) == F.floor(F.get("n", F.lit(0)))) & (cls < (classes if classes is not None else 1 << 31))
     box = F.array(cx - w / 2, cy - h / 2, w, h)
     if strict:
         over = F.greatest((w / 2 - cx) * strict[0], (cx + w / 2 - 1) * strict[0], (h / 2 - cy) * strict[1], (cy + h / 2 - 1) * strict[1])
@@ -41,40 +45,66 @@ def yolo_lines(dets: Column) -> Column:
 
 
 def answer_json(text: Column, key: str) -> Column:
-    """The first JSON object with a key in a model's answer: fenced blocks, then the whole text, then from each brace."""
-    fenced = F.regexp_extract_all(text, F.lit(r"(?s)```(?:json)?\s*(.*?)```"), 1)
-    braces = F.regexp_extract_all(text, F.lit(r"(?s)(\{[^{}]*\})"), 1)
-    candidates = F.concat(fenced, F.array(text), braces)
-    return F.get(F.filter(candidates, lambda c: F.get_json_object(c, f"$.{key}").isNotNull()), F.lit(0))
+    """The JSON text of the first object with a key in a model's answer, null if there is none.
+
+    Fenced blocks come first, then the whole text, then what begins at each opening brace, nested objects included. Text
+    behind an object does not matter, nor do braces that begin no object.
+    """
+    fenced = F.transform(F.regexp_extract_all(text, F.lit(r"(?is)```(?:json)?\s*(.*?)```"), 1), F.trim)
+    whole = F.filter(F.concat(fenced, F.array(F.trim(text))), lambda c: F.try_parse_json(c).isNotNull())
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.lit(1)) == "{")
+    braces = F.transform(starts, lambda i: F.substring(text, i, F.length(text)))
+    return F.get(F.filter(F.concat(whole, braces), lambda c: F.get_json_object(c, f"$.{key}").isNotNull()), F.lit(0))
 
 
-def parse_coco(docs: DataFrame) -> DataFrame:
-    """docs(path, text) of COCO keypoint files to a row for each image: (path, image_id, file_name, width, height, n, bbox, keypoints, issue).
+def parse_coco(docs: DataFrame, points: int | None = None, files: DataFrame | None = None) -> DataFrame:
+    """docs(path, text) of COCO keypoint files to a row for each image: (path, file_name, image_id, width, height, n, bbox, keypoints, issue).
 
-    Each image needs exactly one annotation, and a file name of its own.
+    Each image needs a file name of its own without folders, a positive size, one annotation, a valid box (the face box,
+    else that of the extent) in it, and points times 3 finite numbers (a multiple of 3 where points is None). files(file_name): images that are
+    there; others are missing_file. A file that is no such JSON gives one row with issue json_error.
     """
-    kind = "struct<images:array<struct<id:bigint,file_name:string,width:int,height:int>>,annotations:array<struct<image_id:bigint,bbox:array<double>,face_box:array<double>,keypoints:array<double>>>>"
+    kind = "struct<images:array<struct<id:bigint,file_name:string,width:double,height:double>>,annotations:array<struct<image_id:bigint,bbox:array<double>,face_box:array<double>,keypoints:array<double>>>>"
     x = docs.select("path", F.from_json("text", kind).alias("j"))
-    i = x.select("path", F.inline("j.images")).withColumnRenamed("id", "image_id")
-    a = x.select("path", F.inline("j.annotations")).groupBy("path", "image_id").agg(F.count("*").alias("n"), F.first(F.coalesce("face_box", "bbox")).alias("bbox"), F.first("keypoints").alias("keypoints"))
+    broken = F.col("j.images").isNull() | F.col("j.annotations").isNull()
+    i = x.where(~broken).select("path", F.inline("j.images")).withColumnRenamed("id", "image_id")
+    a = x.where(~broken).select("path", F.inline("j.annotations"))
+    a = a.groupBy("path", "image_id").agg(F.count("*").alias("n"), F.first(face_box(F.col("face_box"), F.col("bbox"))).alias("bbox"), F.first("keypoints").alias("keypoints"))
     names = i.groupBy("path", "file_name").agg(F.count("*").alias("same"))
-    x = i.join(a, ["path", "image_id"], "left").join(names, ["path", "file_name"])
-    issue = F.when(F.col("same") > 1, "duplicate_name").when(F.col("n").isNull(), "no_annotation").when(F.col("n") > 1, "several_annotations")
-    return x.withColumn("issue", issue).drop("same")
+    x = x.where(broken).select("path", F.lit("json_error").alias("issue"))
+    i = i.join(a, ["path", "image_id"], "left").join(names, ["path", "file_name"], "left")
+    i = i.join(files.select("file_name", F.lit(True).alias("there")).distinct(), "file_name", "left") if files is not None else i.withColumn("there", F.lit(True))
+    size = lambda v: finite(v) & (v > 0) & (v == F.floor(v))
+    few = F.size("keypoints") != 3 * points if points else F.size("keypoints") % 3 != 0
+    bad = F.col("keypoints").isNull() | few | F.exists("keypoints", lambda v: ~finite(v))
+    issue = (
+        F.when(F.coalesce(F.col("file_name"), F.lit("")).isin("", ".", "..") | F.col("file_name").contains("/"), "bad_filename").when(F.col("same") > 1, "duplicate_filename")
+        .when(~F.coalesce(size(F.col("width")) & size(F.col("height")), F.lit(False)), "bad_image_size").when(F.col("there").isNull(), "missing_file")
+        .when(F.col("n").isNull(), "missing_annotation").when(F.col("n") > 1, "multiple_annotations").when(F.col("bbox").isNull(), "bad_box").when(bad, "bad_keypoints")
+    )
+    i = i.select("path", "file_name", "image_id", F.col("width").cast("int"), F.col("height").cast("int"), "n", "bbox", "keypoints", issue.alias("issue"))
+    return i.unionByName(x, allowMissingColumns=True)
 
 
 def parse_sidecar(docs: DataFrame, labels: list[str]) -> DataFrame:
     """docs(path, text) of shape files {sample_id, imagePath, imageWidth, imageHeight, shapes} to (path, sample_id, image_path, boxes, issue).
 
-    Shapes are rectangles or polygons; any other kind, or bad points of a wanted label, rejects the file.
+    Shapes are rectangles or polygons; any other kind, bad points of a wanted label, or a size that is not positive rejects
+    the file.
     """
     kind = "struct<sample_id:string,description:string,imagePath:string,imageWidth:int,imageHeight:int,shapes:array<struct<label:string,shape_type:string,points:array<array<double>>>>>"
     x = docs.select("path", F.from_json("text", kind).alias("j"))
     wanted = F.filter("j.shapes", lambda s: s["label"].isin(*labels))
     xs = lambda s, k: F.transform(s["points"], lambda p: F.get(p, F.lit(k)))
     good = lambda s: (F.size(s["points"]) >= 2) & F.forall(s["points"], lambda p: (F.size(p) == 2) & p[0].isNotNull() & p[1].isNotNull())
-    issue = F.when(F.col("j").isNull() | F.col("j.shapes").isNull(), "json_error").when(F.exists("j.shapes", lambda s: ~F.coalesce(s["shape_type"], F.lit("")).isin("rectangle", "polygon")), "unsupported_shape").when(F.exists(wanted, lambda s: ~F.coalesce(good(s), F.lit(False))), "bad_points")
-    box = F.transform(wanted, lambda s: F.struct(s["label"].alias("label"), F.array(*[F.bround(v, 6) for v in (F.array_min(xs(s, 0)) / F.col("j.imageWidth"), F.array_min(xs(s, 1)) / F.col("j.imageHeight"), (F.array_max(xs(s, 0)) - F.array_min(xs(s, 0))) / F.col("j.imageWidth"), (F.array_max(xs(s, 1)) - F.array_min(xs(s, 1))) / F.col("j.imageHeight"))]).alias("box")))
+    sized = F.coalesce((F.col("j.imageWidth") > 0) & (F.col("j.imageHeight") > 0), F.lit(False))
+    issue = (
+        F.when(F.col("j").isNull() | F.col("j.shapes").isNull(), "json_error").when(~sized, "bad_image_size")
+        .when(F.exists("j.shapes", lambda s: ~F.coalesce(s["shape_type"], F.lit("")).isin("rectangle", "polygon")), "unsupported_shape").when(F.exists(wanted, lambda s: ~F.coalesce(good(s), F.lit(False))), "bad_points")
+    )
+    share = lambda v, size: F.bround(F.try_divide(v, F.col(size)), 6)
+    left, top, right, bottom = (lambda s, f=f, k=k: f(xs(s, k)) for f, k in ((F.array_min, 0), (F.array_min, 1), (F.array_max, 0), (F.array_max, 1)))
+    box = F.transform(wanted, lambda s: F.struct(s["label"].alias("label"), F.array(share(left(s), "j.imageWidth"), share(top(s), "j.imageHeight"), share(right(s) - left(s), "j.imageWidth"), share(bottom(s) - top(s), "j.imageHeight")).alias("box")))
     claimed = F.coalesce(F.nullif(F.trim("j.sample_id"), F.lit("")), F.nullif(F.regexp_extract("j.description", r"(?:^|[\s,])fo_sample_id=([^\s,]*)", 1), F.lit("")))
     return x.select("path", claimed.alias("sample_id"), F.col("j.imagePath").alias("image_path"), F.when(issue.isNull(), box).alias("boxes"), issue.alias("issue"))
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framesift.sources.shared import shared_folder
+
 
 def watched(spark: SparkSession, folder: str, every: str | None = "30 seconds"):
     """A stream of the images that come up in a folder; every=None: what is there now, once."""
@@ -64,9 +65,8 @@ def counted_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events by type, through a stream over what is there now."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     x = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.gettempdir()
     name = f"framesift_watch_{abs(hash(sf_dir))}"
     q = x.groupBy("event_type").agg(F.count("*").alias("n")).writeStream.outputMode("complete").format("memory").queryName(name)
-    q = q.option("checkpointLocation", f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}").trigger(availableNow=True).start()
+    q = q.option("checkpointLocation", f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}").trigger(availableNow=True).start()
     q.awaitTermination()
     return spark.table(name)
