@@ -75,10 +75,11 @@ def _parts(pairs: DataFrame, rows: DataFrame, *values: str) -> DataFrame:
 
     The pairs of a b that is in large buckets (of n members) are dealt to parts of about PART by a. A part has the values of
     b ahead (tail 0) and those of its a behind (tail 1): b's are sent once a part, not once a pair, and no part is large.
+    Values are fetched by a merge join at every size, so that the plan of small tables is that of large ones.
     """
     pairs = pairs.withColumn("salt", F.expr(f"pmod(xxhash64(a), ceil(n / {PART}))"))
     heads = pairs.select(F.col("b").alias("doc_id"), "b", "salt", F.lit(0).alias("tail"), F.lit(0).cast("long").alias("n")).distinct()
-    x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"), "n")).join(rows, "doc_id")
+    x = heads.unionByName(pairs.select(F.col("a").alias("doc_id"), "b", "salt", F.lit(1).alias("tail"), "n")).join(rows.hint("merge"), "doc_id")
     return x.select("b", "salt", "tail", "doc_id", "n", *values).repartition("b", "salt").sortWithinPartitions("b", "salt", "tail")
 
 
@@ -186,9 +187,9 @@ def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> Data
     """
     least = LEAST_EQUAL
     names = ["bucket", "i", "j", "own", "band", "a", "c"]
-    x, confirm = placed.join(sigs, "a"), docs is not None
+    x, confirm = placed.join(sigs.hint("merge"), "a"), docs is not None
     if confirm:
-        x = x.join(docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string")), "a")
+        x = x.join(docs.select(F.col("doc_id").cast("long").alias("a"), F.col("text").cast("string")).hint("merge"), "a")
     x = x.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j")
 
     def close_pairs(c: np.ndarray, own: np.ndarray | None, s: np.ndarray, band: int) -> Iterator[tuple[int, np.ndarray]]:
