@@ -1,17 +1,17 @@
 """A compact file format for token ids: adaptive context mixing and a range coder, in independent, checksummed blocks.
 
 The ids of documents, in ascending doc_id order, are cut into blocks of BLOCK ids. Each block starts from empty
-models and can be read alone. For each id, order-2 and order-1 contexts (the last two ids, the last one) each predict
-the id that followed last time, with a confidence. The pair of confidences selects a mixture: adaptive frequencies of
-"order 2 is right", "order 1 is right", "neither". In the last case the id follows under the order-0 model: adaptive
-frequencies of its high part; its low part, taken as uniform, is stored as it is. A carry-less range coder with 64-bit
-state and 16-bit digits encodes the decisions. Blocks do not depend on each other, so that numpy codes all blocks of a segment in step, one id
-of each at a time.
-
-A segment, as bytes (numbers little-endian): MAGIC; uint32 number of documents, of blocks; uint32 block length; uint32
-bits of the low part; then per document int64 doc_id, uint8 (1: doc_id is null), uint32 number of ids; then per block
-uint32 number of ids, uint32 crc32 of its ids (uint32 each), uint32 bytes of its code; uint32 crc32 of all before it;
-then the codes of the blocks in order: uint32 number of digits, the digits (uint16), the low parts (1, 2 or 4 bytes).
+models of orders 1 and 2 and can be read alone. For each id, the order-2 and order-1 contexts (the last two ids, the last
+one) each predict the id that followed last time, with a confidence. Order 0 is the distribution of whole ids in the
+segment, whose head holds it. The three are mixed: an id's probability is the sum of the order-0 probability and those of
+the contexts that predict it, by weights that the block learns for each pair of confidences. A carry-less range coder with
+64-bit state and 16-bit digits encodes the ids. Blocks do not depend on each other, so that numpy codes all blocks of a
+segment in step, one id of each at a time.
+
+A segment, as bytes (numbers little-endian): MAGIC; uint32 number of documents, of blocks; uint32 block length, number of
+different ids; then per document int64 doc_id, uint8 (1: doc_id is null), uint32 number of ids; then per different id,
+ascending, uint32 id and uint32 frequency; then per block uint32 number of ids, uint32 crc32 of its ids (uint32 each),
+uint32 bytes of its code; uint32 crc32 of all before it; then the codes of the blocks in order: digits (uint16).
 """
 
 from __future__ import annotations
@@ -27,49 +27,68 @@ from pyspark.sql import functions as F
 from framesift.llm.common import kept_in_process, partitions_for, table, written
 from framesift.llm.tokenids import Encoder, vocabulary
 
-MAGIC = b"FSTOK3\0\0"
+MAGIC = b"FSTOK4\0\0"
 BLOCK = 4096
 SEGMENT = 9_000_000  # ids after which a segment ends: what a task holds and codes at once
-HASH_BITS = 9
-HIGH = 256  # high parts of ids
+HASH_BITS = 11  # of the table of each order
+WEIGHT_BITS = 12  # weights add up to 4096
+MOST_NAMES = 1 << 18  # different ids of a segment, from whatever vocabulary
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_16, _24, _48, _LOW32 = np.uint64(16), np.uint64(24), np.uint64(48), np.uint64(0xFFFFFFFF)
+_16, _48, _LOW32 = np.uint64(16), np.uint64(48), np.uint64(0xFFFFFFFF)
 _ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
-# the two probabilities of a mixture, of 4096, move by 1/32 to these, by what was right
-_GOAL = np.array([[4032, 32, 32], [32, 4032, 32]], dtype=np.int32)
+# the weights of orders 2 and 1, of 4096, move by 1/32 to these, by which was right; the rest is that of order 0
+_GOAL = np.array([[4000, 32, 32], [32, 4000, 32]], dtype=np.int32)
+
+
+class Order0:
+    """The distribution of a segment's ids: names ascending, and frequencies of at least 1 that add up to 1 << bits."""
+
+    def __init__(self, names: np.ndarray, freq: np.ndarray):
+        self.names, total = names, int(freq.sum()) or 1
+        self.bits = total.bit_length() - 1
+        if total != 1 << self.bits:
+            raise ValueError("the head of a segment is damaged")
+        top = int(names[-1]) + 2 if len(names) else 1
+        dense = top <= 1 << 22  # else ids are found by search
+        self.place = None if not dense else np.zeros(top, np.int64)
+        if dense:
+            self.place[names.astype(np.int64) + 1] = np.arange(1, len(names) + 1)
+        # of place 0, no id: nothing; places begin at 1
+        self.freq = np.concatenate([np.zeros(1, np.uint32), freq.astype(np.uint32)])
+        self.cum = np.concatenate([np.zeros(2, np.uint32), np.cumsum(freq)[:-1].astype(np.uint32)])[: len(names) + 1]
+        self.slot = np.repeat(np.arange(1, len(names) + 1, dtype=np.uint32), freq)
+
+    @classmethod
+    def of(cls, ids: np.ndarray) -> Order0:
+        names, n = np.unique(ids, return_counts=True)
+        if not len(names):
+            return cls(names, np.zeros(0, np.int64))
+        if len(names) > MOST_NAMES:
+            raise ValueError(f"a segment has more than {MOST_NAMES} different ids")
+        bits = max(16, (len(names)).bit_length() + 1)  # at least twice as many as ids, so that frequencies of 1 cost little
+        freq = 1 + np.floor(n / n.sum() * ((1 << bits) - len(names))).astype(np.int64)
+        freq[n.argmax()] += (1 << bits) - freq.sum()
+        return cls(names, freq)
+
+    def places(self, ids: np.ndarray) -> np.ndarray:
+        return (self.place[ids.astype(np.int64) + 1] if self.place is not None else np.searchsorted(self.names, ids) + 1).astype(np.uint32)
 
 
 class Models:
-    """The models of n blocks, side by side."""
+    """The models of orders 1 and 2 and the mixing weights of n blocks, side by side. Ids are places in the order 0."""
 
-    def __init__(self, n: int):
+    def __init__(self, n: int, bits: int):
         at = np.arange(n, dtype=np.int64)
         self.base = np.stack([at << HASH_BITS, (n + at) << HASH_BITS])
         self.rows = at << 4
-        # a cell: predicted id + 1, shifted by 2, and its confidence 0 to 3; first those of order 2
+        # a cell: predicted id, shifted by 2, and its confidence 0 to 3; first those of order 2
         self.cells = np.zeros(2 * n << HASH_BITS, dtype=np.uint32)
         self.mix = np.full(n * 16, 1024 | 1024 << 16, dtype=np.uint32)
-        self.counts = np.ones((n, HIGH + 1), dtype=np.uint32)  # the last column stands unused: places are those of sums
-        self.seen = self.counts.reshape(-1)
-        self.sums = np.zeros((n, HIGH + 1), dtype=np.uint32)
-        self.flat = self.sums.reshape(-1)
-        self.of_sums = at * (HIGH + 1)
         self.last, self.before = (np.zeros(n, dtype=np.uint32) for _ in range(2))
-
-    @staticmethod
-    def due(t: int) -> bool:
-        """Whether order 0 is counted anew before id t: often at first."""
-        return t % 256 == 0 or t in (8, 16, 32, 64, 128)
-
-    def rebuild(self, k: int) -> None:
-        """Frequencies of the high parts, at least 1, of 4096."""
-        c = np.cumsum(self.counts[:k, :HIGH], axis=1, dtype=np.float32)  # below 2^24: whole
-        self.sums[:k, 1:] = np.multiply(c, np.float32(4096 - HIGH) / c[:, -1:], out=c)
-        self.sums[:k, HIGH] = 4096 - HIGH
-        self.sums[:k] += np.arange(HIGH + 1, dtype=np.uint32)
+        self.bits = np.uint32(bits)
 
     def predict(self, k: int):
-        """Of the first k blocks: places and contents of the cells of both orders, the mixture's row, its probabilities."""
+        """Of the first k blocks: what orders 2 and 1 predict, their weights times 1 << bits, the weight of order 0; and what learn() needs."""
         h = self.last[:k] * np.uint32(0x9E3779B1)
         cells = np.empty((2, k), dtype=np.uint32)
         np.multiply(h ^ self.before[:k], np.uint32(0x85EBCA77), out=cells[0])
@@ -80,20 +99,49 @@ class Models:
         sure = c & _THREE
         row = self.rows[:k] + ((sure[0] << _TWO) | sure[1])
         p = self.mix.take(row)
-        return i, c, sure, row, p & np.uint32(0xFFFF), p >> _16.astype(np.uint32)
-
-    def learn(self, k: int, x: np.ndarray, kind: np.ndarray, seen) -> None:
-        i, c, sure, row, p0, p1 = seen
-        want = x + _ONE
-        self.cells[i] = np.where(c >> _TWO == want, c + (sure < _THREE), (want << _TWO) | _ONE)
-        p0, p1 = p0.astype(np.int32), p1.astype(np.int32)
-        p0 += (_GOAL[0].take(kind) - p0) >> 5
-        p1 += (_GOAL[1].take(kind) - p1) >> 5
-        self.mix[row] = p0 | p1 << 16
+        weights = np.empty((2, k), dtype=np.uint32)
+        np.bitwise_and(p, np.uint32(0xFFFF), out=weights[0])
+        np.right_shift(p, np.uint32(16), out=weights[1])
+        rest = np.uint32(1 << WEIGHT_BITS) - weights[0] - weights[1]
+        return c >> _TWO, weights << self.bits, rest, (i, c, sure, row, weights)
+
+    def learn(self, k: int, x: np.ndarray, right: np.ndarray, seen) -> None:
+        i, c, sure, row, weights = seen
+        kind = np.where(right[0], 0, np.where(right[1], 1, 2))
+        self.cells[i] = np.where(right, c + (sure < _THREE), (x << _TWO) | _ONE)
+        p = weights.view(np.int32)
+        p += (_GOAL.take(kind, axis=1) - p) >> 5
+        self.mix[row] = weights[0] | weights[1] << np.uint32(16)
         self.before[:k] = self.last[:k]
         self.last[:k] = x
 
 
+def _interval(order0: Order0, x: np.ndarray, told: np.ndarray, weights: np.ndarray, rest: np.ndarray):
+    """Start and length of the ids x, of 1 << (WEIGHT_BITS + bits), and which predictions are right: all distributions are
+    added up, in order of the ids."""
+    right = told == x
+    before, own = weights * (told < x), weights * right
+    start = rest * order0.cum.take(x) + before[0] + before[1]
+    return start, rest * order0.freq.take(x) + own[0] + own[1], right
+
+
+def _at(order0: Order0, v: np.ndarray, told: np.ndarray, weights: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    """The id in whose interval v lies: the smaller prediction, the larger one, or one of order 0, whose scale is that of v
+    without the weights of the predictions below."""
+    swap = told[0] > told[1]
+    low, high = np.where(swap, told[1], told[0]), np.where(swap, told[0], told[1])
+    w_low, w_high = np.where(swap, weights[1], weights[0]), np.where(swap, weights[0], weights[1])
+    start = rest * order0.cum.take(low)
+    end = start + rest * order0.freq.take(low) + w_low
+    is_low = (v >= start) & (v < end)
+    v = v - w_low * (v >= end)
+    start = rest * order0.cum.take(high)
+    end = start + rest * order0.freq.take(high) + w_high
+    is_high = (v >= start) & (v < end)
+    v = np.minimum((v - w_high * (v >= end)) // rest, np.uint32(len(order0.slot) - 1))
+    return np.where(is_low, low, np.where(is_high, high, order0.slot.take(v)))
+
+
 def _due(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether a digit is due; sizes that got too small at a digit's edge are cut to it."""
     settled = (low ^ (low + size)) < _TOP
@@ -105,48 +153,26 @@ def _due(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     return small
 
 
-def _interval(p0, p1, kind, e, both, a, freq):
-    """Start and length, of 2^24, of what happened: order 2 right, order 1 right, or a high part (for the blocks e)."""
-    first = kind == 0
-    start = np.where(first, np.uint32(0), p0 << np.uint32(12))
-    length = np.where(first, p0, p1) << np.uint32(12)
-    rest = np.uint32(4096) - both
-    start[e] = (both << np.uint32(12)) + rest * a
-    length[e] = rest * freq
-    return start, length
-
-
-def encode_blocks(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
-    """The code of each block: uint32 number of digits, the digits, the low parts; the blocks' lengths must not increase."""
+def encode_blocks(blocks: list[np.ndarray], order0: Order0) -> list[bytes]:
+    """The digits of each block of places; the blocks' lengths must not increase."""
     n, longest = len(blocks), max((len(b) for b in blocks), default=0)
     lengths = np.array([len(b) for b in blocks], dtype=np.int64)
     ids = np.zeros((longest, n), dtype=np.uint32)
     for k, b in enumerate(blocks):
         ids[: len(b), k] = b
-    bits = np.uint32(low_bits)
-    m = Models(n)
+    m = Models(n, order0.bits)
     low, size = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64)
     width = 4 * longest + 8
     out, pos = np.zeros(n * width, dtype=np.uint16), np.arange(n, dtype=np.int64) * width
-    kinds = np.zeros((longest, n), dtype=np.uint8)
+    scale = np.uint64(WEIGHT_BITS + order0.bits)
     for t in range(longest):
         k = int(np.searchsorted(-lengths, -t, side="left"))  # blocks that have an id t
-        if m.due(t):
-            m.rebuild(k)
         x = ids[t, :k]
-        seen = m.predict(k)
-        right = seen[1] >> _TWO == x + _ONE
-        kind = np.where(right[0], 0, np.where(right[1], 1, 2))
-        kinds[t, :k] = kind
-        e = np.flatnonzero(kind == 2)
-        high = (x[e] >> bits).astype(np.int64)
-        place = m.of_sums.take(e) + high
-        a = m.flat.take(place)
-        start, length = _interval(seen[4], seen[5], kind, e, (seen[4] + seen[5]).take(e), a, m.flat.take(place + 1) - a)
-        m.seen[place] += np.uint32(24)
-        m.learn(k, x, kind, seen)
+        told, weights, rest, seen = m.predict(k)
+        start, length, right = _interval(order0, x, told, weights, rest)
+        m.learn(k, x, right, seen)
         lo, sz = low[:k], size[:k]
-        sz >>= _24
+        sz >>= scale
         lo += sz * start
         sz *= length
         due = _due(lo, sz)  # for all blocks at once: where no digit is due, the next one takes its place
@@ -172,66 +198,34 @@ def encode_blocks(blocks: list[np.ndarray], low_bits: int) -> list[bytes]:
         out[pos] = low >> _48
         pos += 1
         low <<= _16
-    kind_of, coded = np.ascontiguousarray(kinds.T), []
-    for k, b in enumerate(blocks):
-        digits = out[k * width : pos[k]].astype("<u2").tobytes()
-        rest = (b[kind_of[k, : len(b)] == 2] & np.uint32((1 << low_bits) - 1)).astype(_low_type(low_bits)).tobytes()
-        coded.append((len(digits) // 2).to_bytes(4, "little") + digits + rest)
-    return coded
-
-
-def _low_type(low_bits: int) -> str:
-    return "u1" if low_bits <= 8 else "<u2" if low_bits <= 16 else "<u4"
+    return [out[k * width : pos[k]].astype("<u2").tobytes() for k in range(n)]
 
 
-def decode_blocks(coded: list[bytes], lengths: list[int], low_bits: int) -> list[np.ndarray]:
-    """The blocks again."""
+def decode_blocks(coded: list[bytes], lengths: list[int], order0: Order0) -> list[np.ndarray]:
+    """The places of each block again."""
     n, longest = len(coded), max(lengths, default=0)
     count = np.array(lengths, dtype=np.int64)
-    sizes = [int.from_bytes(c[:4], "little") for c in coded]
-    width = max(sizes, default=0) + 8
+    width = max((len(c) // 2 for c in coded), default=0) + 8
     words, pos = np.zeros(n * width, dtype=np.uint16), np.arange(n, dtype=np.int64) * width
-    kind_width = np.dtype(_low_type(low_bits)).itemsize
-    rests, at_rest, total = [], np.zeros(n, dtype=np.int64), 0
-    for k, (c, d) in enumerate(zip(coded, sizes, strict=True)):
-        words[k * width : k * width + d] = np.frombuffer(c, "<u2", d, 4)
-        rests.append(np.frombuffer(c, _low_type(low_bits), (len(c) - 4 - 2 * d) // kind_width, 4 + 2 * d))
-        at_rest[k], total = total, total + len(rests[-1])
-    rest = np.concatenate([*rests, np.zeros(1, _low_type(low_bits))]).astype(np.uint32)
+    for k, c in enumerate(coded):
+        words[k * width : k * width + len(c) // 2] = np.frombuffer(c, "<u2")
     ids = np.zeros((longest, n), dtype=np.uint32)
-    bits = np.uint32(low_bits)
-    m = Models(n)
+    m = Models(n, order0.bits)
     low, size, code = np.zeros(n, np.uint64), np.full(n, 0xFFFFFFFFFFFFFFFF, np.uint64), np.zeros(n, np.uint64)
     for _ in range(4):
         code = (code << _16) | words[pos]
         pos += 1
-    of_table, table = np.arange(n, dtype=np.int64) << 12, np.zeros(0, np.uint8)
-    names = np.arange(HIGH, dtype=np.uint8)
+    scale = np.uint64(WEIGHT_BITS + order0.bits)
+    most = np.uint64((1 << int(scale)) - 1)
     for t in range(longest):
         k = int(np.searchsorted(-count, -t, side="left"))
-        if m.due(t):
-            m.rebuild(k)
-            table = np.repeat(np.broadcast_to(names, (k, HIGH)).reshape(-1), np.diff(m.sums[:k].astype(np.int64), axis=1).reshape(-1))
-        seen = m.predict(k)
-        p0, p1 = seen[4], seen[5]
+        told, weights, rest, seen = m.predict(k)
         lo, sz, co = low[:k], size[:k], code[:k]
-        sz >>= _24
-        v = np.minimum((co - lo) // sz, np.uint64((1 << 24) - 1)).astype(np.uint32)
-        first = p0 << np.uint32(12)
-        sum_ = p0 + p1
-        second = sum_ << np.uint32(12)
-        kind = (v >= first).astype(np.int64) + (v >= second)
-        e = np.flatnonzero(kind == 2)
-        both = sum_.take(e)
-        high = table.take(of_table.take(e) + (v.take(e) - (both << np.uint32(12))) // (np.uint32(4096) - both)).astype(np.int64)
-        place = m.of_sums.take(e) + high
-        a = m.flat.take(place)
-        start, length = _interval(p0, p1, kind, e, both, a, m.flat.take(place + 1) - a)
-        m.seen[place] += np.uint32(24)
-        x = (np.where(kind == 0, seen[1][0], seen[1][1]) >> _TWO) - _ONE
-        x[e] = (high.astype(np.uint32) << bits) | rest.take(at_rest.take(e))
-        at_rest[e] += 1
-        m.learn(k, x, kind, seen)
+        sz >>= scale
+        v = np.minimum((co - lo) // sz, most).astype(np.uint32)
+        x = _at(order0, v, told, weights, rest)
+        start, length, right = _interval(order0, x, told, weights, rest)
+        m.learn(k, x, right, seen)
         ids[t, :k] = x
         lo += sz * start
         sz *= length
@@ -262,10 +256,11 @@ def decode_blocks(coded: list[bytes], lengths: list[int], low_bits: int) -> list
 def write_segment(doc_ids: np.ndarray, nulls: np.ndarray, lengths: np.ndarray, ids: np.ndarray, block: int = BLOCK) -> bytes:
     """A segment: documents' ids, one after another."""
     ids = np.ascontiguousarray(ids, dtype="<u4")
-    low_bits = max(0, int(ids.max()).bit_length() - 8) if len(ids) else 0
-    blocks = [ids[k : k + block] for k in range(0, len(ids), block)]
-    coded = encode_blocks(blocks, low_bits)
-    head = [MAGIC, np.array([len(doc_ids), len(blocks), block, low_bits], "<u4").tobytes(), doc_ids.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), lengths.astype("<u4").tobytes()]
+    order0 = Order0.of(ids)
+    blocks, places = [ids[k : k + block] for k in range(0, len(ids), block)], order0.places(ids)
+    coded = encode_blocks([places[k : k + block] for k in range(0, len(ids), block)], order0)
+    head = [MAGIC, np.array([len(doc_ids), len(blocks), block, len(order0.names)], "<u4").tobytes(), doc_ids.astype("<i8").tobytes(), nulls.astype("u1").tobytes(), lengths.astype("<u4").tobytes()]
+    head += [order0.names.astype("<u4").tobytes(), order0.freq[1:].astype("<u4").tobytes()]
     head += [np.array([[len(b), zlib.crc32(b.tobytes()), len(c)] for b, c in zip(blocks, coded, strict=True)], "<u4").tobytes()]
     head = b"".join(head)
     return b"".join([head, zlib.crc32(head).to_bytes(4, "little"), *coded])
@@ -275,12 +270,14 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """What write_segment() was given; ValueError if a checksum does not hold."""
     if data[:8] != MAGIC:
         raise ValueError("no segment of token ids")
-    docs, blocks, _, low_bits = (int(x) for x in np.frombuffer(data, "<u4", 4, 8))
+    docs, blocks, _, different = (int(x) for x in np.frombuffer(data, "<u4", 4, 8))
     at = 24
     doc_ids = np.frombuffer(data, "<i8", docs, at)
     nulls = np.frombuffer(data, "u1", docs, at + 8 * docs).astype(bool)
     lengths = np.frombuffer(data, "<u4", docs, at + 9 * docs).astype(np.int64)
     at += 13 * docs
+    names, freq = (np.frombuffer(data, "<u4", different, at + 4 * different * k) for k in range(2))
+    at += 8 * different
     rows = np.frombuffer(data, "<u4", 3 * blocks, at).reshape(blocks, 3)
     at += 12 * blocks
     if zlib.crc32(data[:at]) != int.from_bytes(data[at : at + 4], "little"):
@@ -288,9 +285,10 @@ def read_segment(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     ends = (at + 4 + np.cumsum(rows[:, 2].astype(np.int64))).tolist()
     coded = [data[e - c : e] for c, e in zip(rows[:, 2].tolist(), ends, strict=True)]
     try:
-        out = decode_blocks(coded, rows[:, 0].astype(int).tolist(), low_bits)
-    except IndexError as e:  # more digits or low parts are asked for than there are
+        out = decode_blocks(coded, rows[:, 0].astype(int).tolist(), Order0(names, freq.astype(np.int64))) if blocks else []
+    except (IndexError, ZeroDivisionError) as e:  # more digits are asked for than there are
         raise ValueError("a block is damaged") from e
+    out = [names[b.astype(np.int64) - 1] for b in out]
     for b, row in zip(out, rows, strict=True):
         if zlib.crc32(b.astype("<u4").tobytes()) != int(row[1]):
             raise ValueError("a block is damaged")

@@ -1,10 +1,9 @@
 """Ids of many texts at once for vocabularies with word ends: words are split and looked up by array operations.
 
 A chunk of texts is an array of code points. Tables over the code points give the class of each (space, letter, digit,
-other), so that words start where it changes; a polynomial hash of 63 bits over prefix sums names each word. A table from
-hashes to ids, filled by the encoder as words come up, gives the ids. It is emptied when half full, so that
-its size is bounded. Two words of one length with one hash would get the same ids: a word that is not in a table of
-500,000 words meets such a hash with a probability of 5e5 / 2^63, about 5e-14, which is taken as never.
+other), so that words start where it changes; a polynomial hash of 63 bits over prefix sums finds each word in a table of
+words and their ids, filled by the encoder as words come up. What is found is compared letter by letter: a chunk in which
+a word meets another one's hash goes to the encoder. The table is emptied when half full, so that its size is bounded.
 Texts with code points that these tables do not cover go to the encoder.
 """
 
@@ -35,6 +34,12 @@ def _tables(odd: re.Pattern) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return kind, low, left
 
 
+def _ranges(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... n[0] of them, then those from start[1], and so on."""
+    before = np.cumsum(n) - n
+    return np.repeat(start - before, n) + np.arange(int(n.sum()))
+
+
 class WordIds:
     """ids_of(texts) as encoder.ids() gives them one by one. encode: the ids of words and their numbers; special: finds special strings."""
 
@@ -52,6 +57,7 @@ class WordIds:
         self.keys = np.zeros(SLOTS, np.uint64)
         self.at, self.n_ids, self.n_points = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
         self.flat, self.used, self.words = np.zeros(1 << 16, np.uint32), 0, 0
+        self.letters, self.letters_at, self.letters_used = np.zeros(1 << 16, np.uint16), np.zeros(SLOTS, np.int64), 0
 
     def _slots(self, h: np.ndarray) -> np.ndarray:
         """The slot of each hash, or the free one where it would go."""
@@ -64,9 +70,14 @@ class WordIds:
             j = j[(found != h[j]) & (found != 0)]
         return slot
 
-    def _learn(self, words: list[str], h: np.ndarray, points: np.ndarray) -> None:
-        """Puts words of different hashes into the table."""
+    def _learn(self, words: list[str], h: np.ndarray, points: np.ndarray, letters: np.ndarray) -> None:
+        """Puts words of different hashes into the table, with their numbers of letters and these, one after another."""
         ids, n = self.encode(words)
+        if self.letters_used + len(letters) > len(self.letters):
+            self.letters = np.concatenate([self.letters, np.zeros(max(len(self.letters), len(letters)), np.uint16)])
+        self.letters[self.letters_used : self.letters_used + len(letters)] = letters
+        letters_at = self.letters_used + np.cumsum(points) - points
+        self.letters_used += len(letters)
         if self.used + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), len(ids)), np.uint32)])
         self.flat[self.used : self.used + len(ids)] = ids
@@ -77,7 +88,7 @@ class WordIds:
             slot = self._slots(h[todo])
             slot, first = np.unique(slot, return_index=True)  # of words that want one free slot the first takes it
             j = todo[first]
-            self.keys[slot], self.at[slot], self.n_ids[slot], self.n_points[slot] = h[j], at[j], n[j], points[j]
+            self.keys[slot], self.at[slot], self.n_ids[slot], self.n_points[slot], self.letters_at[slot] = h[j], at[j], n[j], points[j], letters_at[j]
             todo = np.delete(todo, first)
 
     def ids_of(self, texts: list[str | None]) -> list[np.ndarray]:
@@ -145,15 +156,16 @@ class WordIds:
                 new = np.arange(len(h))
                 _, first = np.unique(h, return_index=True)
             i = new[first]
-            self._learn([joined[s:e] for s, e in zip(start[i].tolist(), end[i].tolist(), strict=True)], h[i], end[i] - start[i])
+            self._learn([joined[s:e] for s, e in zip(start[i].tolist(), end[i].tolist(), strict=True)], h[i], end[i] - start[i], self.low[c[_ranges(start[i], end[i] - start[i])]])
             slot = self._slots(h)
-        if not np.array_equal(self.n_points[slot], end - start):  # one hash for words of two lengths
+        same = np.array_equal(self.n_points[slot], end - start)
+        if not same or not np.array_equal(self.letters[_ranges(self.letters_at[slot], end - start)], self.low[c[word]]):  # one hash for two words
             for k, _ in held:
                 out[k] = self.one_text(texts[k])
             return None
         n = self.n_ids[slot]
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-        ids = self.flat[np.repeat(self.at[slot] - total[:-1], n) + np.arange(total[-1])]
+        ids = self.flat[_ranges(self.at[slot], n)]
         cuts = total[np.searchsorted(start, ends)]
         for (k, _), x in zip(held, np.split(ids, cuts[:-1]), strict=True):
             out[k] = x
