@@ -11,7 +11,7 @@ from __future__ import annotations
 import html as html_lib
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -24,6 +24,7 @@ from framesift.llm.common import table
 SKIPPED = frozenset("script style noscript template head svg math iframe object canvas audio video select textarea button datalist title".split())
 NESTED = frozenset("svg template object math".split())  # skipped ones that can hold their like
 BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+RAW = frozenset("script style iframe textarea title".split())  # skipped ones that hold no elements: unclosed, they go on to the end
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog search".split())
 BAD_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promoted nav navbar navigation menu breadcrumb breadcrumbs footer header masthead topbar sidebar side rail widget widgets cookie cookies consent gdpr notice notices notification alert popup modal overlay comment comments commentlist reply replies respond discussion disqus feedback form login signin signup register subscribe subscription newsletter share sharing social related recommended recommendations popular trending more-stories pagination pager toolbar copyright legal disclaimer skip tags contentinfo complementary search".split())
@@ -86,12 +87,17 @@ def _end(page: str, name: str, at: int) -> int | None:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page that have text, in order."""
+    """The blocks of a page that have text, in order; elements may be nested to any depth."""
     out: list[Block] = []
-    # open elements: name, number, prior, region, whether inside article or main, whether inside a link
-    stack: list[tuple] = [("", 0, 0.0, 0, False, False)]
+    # open elements: name, number, prior, region, whether inside article or main, whether inside a link, place of the block
+    stack: list[tuple] = [("", 0, 0.0, 0, False, False, 0)]
+    open_ = Counter()  # how often each name is among them
     number, block, at = 0, None, 0
 
+    def close(k: int) -> None:
+        open_.subtract(s[0] for s in stack[k:])
+        del stack[k:]
+
     def text(t: str) -> None:
         nonlocal block
         if not t:
@@ -99,9 +105,7 @@ def blocks_of(page: str) -> list[Block]:
         if block is None:
             if t.isspace():
                 return
-            k = len(stack) - 1
-            while k and stack[k][0] not in BLOCKS:
-                k -= 1
+            k = stack[-1][6]
             name, n, prior, region = stack[k][:4]
             above = stack[k - 1][1] if k else 0
             block = Block(above if name in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "dd", "dt") else n, k, prior, region, name[:1] == "h" and name[1:].isdigit())
@@ -122,9 +126,9 @@ def blocks_of(page: str) -> list[Block]:
         elif name == "br" and block is not None:
             block.text.append(" ")
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if open_[name] > 0 else ():
                 if stack[k][0] == name:
-                    del stack[k:]
+                    close(k)
                     break
                 if stack[k][0] in ("table", "td", "th") and name in ("p", "li", "div"):
                     break
@@ -136,26 +140,23 @@ def blocks_of(page: str) -> list[Block]:
             if name in SKIPPED or name in BLOCKS:
                 if name in SKIPPED:
                     end = _end(page, name, at)
-                    if end is None and name == "head":
+                    if end is None and name not in RAW:  # unclosed: only the tag itself goes
                         continue
                     if end is None or end >= len(page):
                         return out
                     at = end  # the search goes on there: what is inside makes no tokens
                     continue
         if name in ("p", "li", "tr", "td", "th", "dd", "dt", "option") or name in BLOCKS:  # what an element like this closes
-            k = len(stack) - 1
-            while k and stack[k][0] not in BLOCKS:
-                k -= 1
+            k = stack[-1][6]
             if k and (stack[k][0] == "p" or stack[k][0] == name and name in ("li", "dd", "dt", "tr", "td", "th")):
-                del stack[k:]
+                close(k)
         number += 1
-        _, _, prior, region, in_article, link = stack[-1]
+        _, _, prior, region, in_article, link, _ = stack[-1]
         own, new = _purpose(name, attrs, prior, in_article)
         if HIDDEN.search(attrs):
             own, new = -2 * SECTION, True
-        stack.append((name, number, own, number if new else region, in_article or name in ("article", "main"), link or name == "a"))
-        if len(stack) > 400:  # unclosed inline elements pile up
-            stack = [stack[0], *[s for s in stack[1:] if s[0] in BLOCKS][-300:]]
+        stack.append((name, number, own, number if new else region, in_article or name in ("article", "main"), link or name == "a", len(stack) if name in BLOCKS else stack[-1][6]))
+        open_[name] += 1
     if at < len(page):
         rest = page[at:]
         text(html_lib.unescape(rest) if not rest.startswith("<") else "")
