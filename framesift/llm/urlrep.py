@@ -10,6 +10,8 @@ from framesift.llm.common import table, written
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
 Z = 1.645  # of the one-sided 95 % bound
 WORST = 0.4  # hosts whose share of bad pages is surely above are blocked
+# Second labels under which two-letter top-level domains register names, as in co.uk.
+SECOND = "ac co com edu gov go ne net or org"
 HEAVY = 1000  # hosts with at least a thousandth of all pages are handled apart: at most a thousand
 
 
@@ -23,6 +25,17 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), path
 
 
+def registered(host: Column) -> tuple[Column, Column]:
+    """Registered domain and suffix of a host: its last two labels and its last, or three and two under a SECOND label.
+
+    A port does not belong to either. An address of numbers is its own domain, with the suffix ip.
+    """
+    name = F.regexp_replace(host, ":[0-9]*$", "")
+    last = lambda n: F.substring_index(name, ".", -n)
+    number, second = name.rlike(r"^[0-9.]+$|^\["), name.rlike(rf"(^|\.)({'|'.join(SECOND.split())})\.[a-z][a-z]$")
+    return F.when(number, name).when(second, last(3)).otherwise(last(2)), F.when(number, "ip").when(second, last(2)).otherwise(last(1))
+
+
 def matching_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits, and its verdict; null if none does."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -46,13 +59,13 @@ def host_reputation(pages: DataFrame, outcomes: DataFrame) -> DataFrame:
     """pages(page_id, host), outcomes(page_id, bad 0/1) to (host, pages, n, k, mean, lower).
 
     mean and lower: of the share of a host's pages that are bad, after shrinking its labelled outcomes to its
-    registered domain's, those to its suffix's, those to all. The registered domain is the last two labels of a host,
-    the suffix the last one. Hosts without labelled pages have their domain's prior. A page with several outcomes
+    registered domain's, those to its suffix's, those to all, as registered() has them. Hosts without labelled pages have their domain's prior. A page with several outcomes
     counts as bad if one of them is.
     """
     bad = outcomes.where("page_id is not null and bad is not null").groupBy("page_id").agg(F.max("bad").alias("bad"))
     x = pages.join(bad, "page_id", "left").groupBy("host").agg(F.count("*").alias("pages"), F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).cast("long").alias("k"))
-    x = x.withColumn("domain", F.expr("substring_index(host, '.', -2)")).withColumn("suffix", F.expr("substring_index(host, '.', -1)"))
+    domain, suffix = registered(F.col("host"))
+    x = x.withColumn("domain", domain).withColumn("suffix", suffix)
     x = written(x, "hosts")
     total = x.agg(F.sum("n").alias("tn"), F.sum("k").alias("tk"))
     one = total.select(F.expr("(tk + 1) / (tn + 2)").alias("mu")).select(F.coalesce("mu", F.lit(0.5)).alias("mu"))
@@ -81,12 +94,12 @@ def judged(pages: DataFrame, outcomes: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     bad = written(host_reputation(x.select("page_id", "host"), outcomes), "reputation")
     pages_in_all = bad.agg(F.sum("pages")).first()[0] or 0
-    blocked = bad.where(F.col("lower") > WORST)
-    heavy = F.broadcast(blocked.where(F.col("pages") * HEAVY >= pages_in_all).select("host", F.lit(True).alias("heavy")))
-    light = blocked.where(F.col("pages") * HEAVY < pages_in_all).select("host", F.lit(True).alias("light"))
+    judged_hosts = bad.select("host", (F.col("lower") > WORST).alias("bad"), (F.col("pages") * HEAVY >= pages_in_all).alias("large"))
+    heavy = F.broadcast(judged_hosts.where("large").select("host", F.col("bad").alias("heavy")))
+    light = judged_hosts.where("bad and not large").select("host", F.col("bad").alias("light"))
     out = x.withColumn("rule", rule).withColumn("fixed", verdict).join(heavy, "host", "left")
     open_ = out["fixed"].isNull() & out["heavy"].isNull()
-    # a light host has too few pages to be a hot key; pages that are decided already do not take part
+    # heavy hosts of either verdict are known here; a light one has too few pages to be a hot key of the join
     later = out.where(open_).join(light, "host", "left")
     done = out.where(~open_).withColumn("light", F.lit(None).cast("boolean"))
     out = done.unionByName(later)
@@ -113,13 +126,20 @@ def _strength_sql(level: str) -> str:
   from (select count(*) g, sum(n) tn, sum(k) tk, sum(k * k / n) q, sum(n * n) nn from (select {level}, sum(n)::double n, sum(k)::double k from hosts group by 1) where n > 0))"""
 
 
+_SECOND_SQL = f"regexp_matches(name, '(^|\\.)({'|'.join(SECOND.split())})\\.[a-z][a-z]$')"
+
+
+def _last_sql(n: int) -> str:
+    return f"array_to_string(list_slice(string_split(name, '.'), -{n}, -1), '.')"
+
+
 OP5_SQL = f"""
 with cut as (select page_id, case when url is not null and position('://' in url) > 0 then substring(url, position('://' in url) + 3) else '' end as rest from pages),
 x as (select page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut),
 ruled as (select *, {_rule_sql()} from x),
 bad as (select doc_id as page_id, max(case when quality = 0 or toxic = 1 then 1 when quality is null and toxic is null then null else 0 end) as bad from labels where doc_id is not null group by 1),
-hosts as (select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as k, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain, list_extract(string_split(host, '.'), -1) as suffix
-  from x left join bad using (page_id) group by 1),
+counted as (select host, count(bad) as n, coalesce(sum(bad), 0)::bigint as k, regexp_replace(host, ':[0-9]*$', '') as name from x left join bad using (page_id) group by 1),
+hosts as (select *, case when regexp_matches(name, '^[0-9.]+$|^\\[') then name when {_SECOND_SQL} then {_last_sql(3)} else {_last_sql(2)} end as domain, case when regexp_matches(name, '^[0-9.]+$|^\\[') then 'ip' when {_SECOND_SQL} then {_last_sql(2)} else {_last_sql(1)} end as suffix from counted),
 prior as (select (select coalesce((sum(k) + 1) / (sum(n) + 2), 0.5) from hosts) as mu, {_strength_sql("suffix")} as s_suffix, {_strength_sql("domain")} as s_domain, {_strength_sql("host")} as s_host),
 suffixes as (select suffix, (sum(k) + any_value(s_suffix) * any_value(mu)) / (sum(n) + any_value(s_suffix)) as mu_suffix from hosts, prior group by 1),
 domains as (select domain, (sum(k) + any_value(s_domain) * any_value(mu_suffix)) / (sum(n) + any_value(s_domain)) as mu_domain from hosts join suffixes using (suffix), prior group by domain),
