@@ -7,6 +7,7 @@ the word, its beginnings of 3 to 6 characters and its last 3.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections import Counter
@@ -14,12 +15,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from framesift.llm.common import kept_in_process, table
 
-TRAIN_DOCS = 8_000  # at most so many labelled documents are learned from
+TRAIN_DOCS, TRAIN_BYTES = 8_000, 100 << 20  # at most so many labelled documents, and bytes of their texts, are learned from
 FEATURES = 6_000  # at most so many weights
 THRESHOLD = 0.3
 SENTENCE = r"[^.!?\n。！？]+[.!?\n。！？]*|[.!?\n。！？]+"
@@ -121,12 +122,15 @@ class Scorer:
 
 def train(docs: DataFrame, labels: DataFrame, most_docs: int = TRAIN_DOCS) -> dict:
     """A model from the labelled documents that are not held out: those with the smallest hashes of their ids, at most
-    most_docs, so that only ids are sorted and at most that many texts are fetched. Null texts count as empty; null labels and ids are left out; a document with several labels has the largest."""
+    most_docs, and of these as many as have TRAIN_BYTES together, so that only ids are sorted and the texts fetched are
+    bounded. Null texts count as empty; null labels and ids are left out; a document with several labels has the largest."""
     labels = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     labels = labels.where(~held_out()).join(docs.select("doc_id"), "doc_id", "left_semi")
-    chosen = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most_docs).select("doc_id", "toxic")
+    chosen = labels.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(most_docs)
     x = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
-    got = sorted(x.select("doc_id", "text", "toxic").dropDuplicates(["doc_id"]).collect())
+    so_far = Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of most_docs rows
+    x = x.dropDuplicates(["doc_id"]).withColumn("bytes", F.sum(F.octet_length("text").cast("long")).over(so_far)).where(F.col("bytes") <= TRAIN_BYTES)
+    got = sorted(x.select("doc_id", "text", "toxic").collect())
     return learn([r[1] for r in got], [int(r[2]) for r in got])
 
 
@@ -134,6 +138,10 @@ def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
 
 
+def _digest(model: dict) -> str:
+    return hashlib.sha256(repr((model["bias"], model["share"], sorted(model["weights"].items()))).encode()).hexdigest()
+
+
 def scored(docs: DataFrame, model: dict) -> DataFrame:
     """docs(doc_id, text) to (doc_id, held_out, score, predicted, offending), a row for each row, repeated ones too.
 
@@ -141,10 +149,10 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
     texts have no sentences and score 0 (the constant share, if the model had nothing to learn from); a null doc_id
     counts as held out. No rows give no rows.
     """
-    shared, digest = docs.sparkSession.sparkContext.broadcast(model), id(model)
+    shared, digest = docs.sparkSession.sparkContext.broadcast(model), _digest(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = kept_in_process("toxicity", (digest, shared.value["bias"]), lambda: Scorer(shared.value))
+        scorer = kept_in_process("toxicity", digest, lambda: Scorer(shared.value))
         for batch in batches:
             got = [scorer.score(t or "") for t in batch.column(1).to_pylist()]
             spans = pa.array([[{"start": a, "stop": b} for a, b in x[1]] for x in got], pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
@@ -157,10 +165,10 @@ def scored(docs: DataFrame, model: dict) -> DataFrame:
 
 def not_toxic(docs: DataFrame, model: dict) -> DataFrame:
     """The rows of docs, with all their columns, whose text scores under THRESHOLD. No join: each row is judged in place."""
-    shared, digest, least, at = docs.sparkSession.sparkContext.broadcast(model), id(model), THRESHOLD, docs.columns.index("text")
+    shared, digest, least, at = docs.sparkSession.sparkContext.broadcast(model), _digest(model), THRESHOLD, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = kept_in_process("toxicity", (digest, shared.value["bias"]), lambda: Scorer(shared.value))
+        scorer = kept_in_process("toxicity", digest, lambda: Scorer(shared.value))
         for batch in batches:
             yield batch.filter(pa.array([scorer.score(t or "")[0] < least for t in batch.column(at).to_pylist()], pa.bool_()))
 
