@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from framesift.llm import queries
 from framesift.llm.common import table
@@ -102,6 +103,19 @@ def test_op1_skipped_elements():
         assert main_text(f"<article>{first}{inside}{last}</article>") == re.sub("<[^>]+>", "", first) + "\n\n" + re.sub("<[^>]+>", "", last), inside
 
 
+def test_op1_unclosed_and_deep(spark):
+    first, last = "The first part of a story that is long enough.", "The last part of a story that is long enough."
+    for tag in ("object", "button", "select", "noscript", "svg", "template"):
+        assert main_text(f"<article><p>{first}</p><{tag}><p>{last}</p></article>").endswith(last), tag
+    assert main_text(f"<article><p>{first}</p><script>var a = 1; <p>{last}</p></article>") == first
+    deep = "<div>" * 3000 + f"<article><p>{first}</p>" + "<i><b>" * 3000 + f"<p>{last}</p></article>"
+    assert main_text(deep) == f"{first}\n\n{last}" and main_text("<p>" + "</i>" * 200_000 + first) == main_text("<p>" + first)
+    long = "<article>" + f"<p>{first}</p>" * 20_000 + "</article>"
+    got = extracted(spark.createDataFrame([(1, "u", long), (1, "u", long)], "page_id bigint, url string, html string")).collect()
+    assert len(got) == 2 and all(r.n_chars == 20_000 * (len(first) + 2) - 2 for r in got)
+    assert extracted(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
+
+
 def test_op1_cut_is_least():
     random.seed(1)
     for _ in range(200):
@@ -194,6 +208,11 @@ def test_op4(spark, edge, none):
     held = [r for r in rows if r.held_out and r.doc_id in labels]
     hit = sum(labels[r.doc_id] and r.predicted for r in held)
     assert hit > 0.85 * sum(labels[r.doc_id] for r in held) and hit > 0.9 * sum(r.predicted for r in held)
+    toy = {"bias": -2.0, "share": 0.5, "weights": {"=bad": 3.0, "^wor": 1.5, "rse$": 0.25}}
+    odds = lambda *z: 1 - np.prod([1 - 1 / (1 + np.exp(-v)) for v in z])
+    texts = {1: ("It is bad! Worse, bad. Fine", odds(1.0, 2.75, -2.0)), 2: ("fine", odds(-2.0)), 3: ("BAD bad", odds(4.0)), 4: ("", 0.0), 5: ("bad. " * 3000, 1.0)}  # noisy-or over sentences by hand
+    got = {r.doc_id: r for r in scored(spark.createDataFrame([(k, t) for k, (t, _) in texts.items()], "doc_id bigint, text string"), toy).collect()}
+    assert all(abs(got[k].score - p) < 1e-9 for k, (_, p) in texts.items()) and [(v.start, v.stop) for v in got[1].offending] == [(10, 22), (0, 10)]
     model = learn(["you idiot. fine day", "good day. nice"] * 20, [1, 0] * 20)
     assert scored(edge, model).count() == len(EDGE) and scored(none, model).count() == 0
     assert train(none, spark.createDataFrame([], "doc_id bigint, toxic int"))["share"] == 0.0
@@ -205,6 +224,12 @@ def test_op5(spark):
     got = {v.page_id: (v.host, v.path, v.rule, v.verdict) for v in r}
     assert len(r) == len(urls) and got[1] == ("www.example.com", "/en/1", "www.example.com/en/", "allow") and got[2] == ("example.com", "/en/", "example.com/en/", "block")
     assert got[3][2] == "com/" and got[4][:3] == ("", "", None) and got[5][:3] == ("", "", None) and got[6][2:] == ("net/es/", "block") and got[7][:3] == ("com", "", None) and got[8][2] == "com/"
+    assert judged(spark.createDataFrame([], "page_id bigint, url string"), spark.createDataFrame([(1, 1)], "page_id bigint, bad int")).count() == 0
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "x.y.com", "com", "", "10.0.0.1", "10.0.0.1:80", "a.net:8080", "[::1]", "a.co.com"]
+    from framesift.llm.urlrep import registered
+
+    x = spark.createDataFrame([(h,) for h in hosts], "host string").select("host", *[c.alias(n) for n, c in zip(("d", "s"), registered(F.col("host")), strict=True)])
+    assert [(v.d, v.s) for v in x.collect()] == [("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("y.com", "com"), ("com", "com"), ("", ""), ("10.0.0.1", "ip"), ("10.0.0.1", "ip"), ("a.net", "net"), ("[::1]", "ip"), ("co.com", "com")]
     many = [(i, f"http://bad.org/{i}") for i in range(60)] + [(100 + i, f"http://h{i % 40}.net/a") for i in range(400)]
     r = judged(spark.createDataFrame(many, "page_id bigint, url string"), spark.createDataFrame([(i, int(i < 60)) for i, _ in many], "page_id bigint, bad int"))
     assert {v.host for v in r.where("verdict = 'block'").collect()} == {"bad.org"}
