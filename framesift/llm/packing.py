@@ -150,35 +150,29 @@ def packed(items: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -
     """items(doc_id, piece, length, ...) with sequence_id and offset: their place, without gaps from offset 0.
 
     items should be written already: it is read twice. Lengths are 1 to capacity. Repeated rows get places of their
-    own; no rows give no rows. Ranks are counted in buckets by a hash, so that no length gathers in one task; what
-    the driver gets is a count for each length and bucket, and the list of places goes to the tasks: both are bounded
-    by the capacity, not by the number of items.
+    own; no rows give no rows. Ranks are counted in buckets by a hash, so that no length gathers in one task. The driver
+    gets a count for each length, and the tasks the list of places and a count for each length and bucket: all are
+    bounded by the capacity, not by the number of items.
     """
     spark = items.sparkSession
     x = items.withColumn("_bucket", F.expr(f"cast(pmod(xxhash64(doc_id, piece), {buckets}) as int)"))
-    counts: dict[int, dict[int, int]] = {}
-    for r in x.groupBy("length", "_bucket").count().collect():
-        counts.setdefault(r[0], {})[r[1]] = r[2]
-    place = places(pack_counts({n: sum(c.values()) for n, c in counts.items()}, capacity))
-    base = {}
-    for n, c in counts.items():
-        row = np.array([c.get(b, 0) for b in range(buckets)], dtype=np.int64)
-        base[n] = np.cumsum(row) - row
-    shared = spark.sparkContext.broadcast((place, base))
+    counts = written(x.groupBy("length", "_bucket").agg(F.count("*").alias("n")), "lengths")
+    place = places(pack_counts({r[0]: r[1] for r in counts.groupBy("length").agg(F.sum("n")).collect()}, capacity))
+    shared = spark.sparkContext.broadcast(place)
+    before = Window.partitionBy("length").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # of buckets, not of items
+    base = counts.select("length", "_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_base"))
     names = items.columns
     w = Window.partitionBy("length", "_bucket").orderBy("doc_id", "piece", *[c for c in names if c not in ("doc_id", "piece", "length")])
-    ranked = x.withColumn("_rank", F.row_number().over(w) - 1)
+    ranked = x.withColumn("_rank", F.row_number().over(w) - 1).join(F.broadcast(base), ["length", "_bucket"]).withColumn("_rank", F.col("_rank") + F.col("_base"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, base = shared.value
-        at = names.index("length")
+        place, at = shared.value, names.index("length")
         for batch in batches:
-            size, bucket, rank = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (at, len(names), len(names) + 1))
+            size, rank = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (at, len(names)))
             seq, offset = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
             for n in np.unique(size).tolist():
                 of = np.flatnonzero(size == n)
-                r = rank[of] + base[n][bucket[of]]
-                rows = place[n]
+                r, rows = rank[of], place[n]
                 rows = rows[np.searchsorted(rows[:, 0], r, side="right") - 1]
                 r = r - rows[:, 0]
                 seq[of] = rows[:, 1] + r // rows[:, 2]
@@ -186,7 +180,7 @@ def packed(items: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(seq), pa.array(offset)], names=[*names, "sequence_id", "offset"])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in items.schema)
-    return ranked.select(*names, "_bucket", "_rank").mapInArrow(run, f"{kinds}, sequence_id long, offset long")
+    return ranked.select(*names, F.col("_rank").cast("long")).mapInArrow(run, f"{kinds}, sequence_id long, offset long")
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
