@@ -439,6 +439,85 @@ def test_op10_cells_and_audit(spark, monkeypatch):
     assert widths == [1, 2] and sum(got.values()) >= 0.99 * near.sum() and all(got[i] <= n for i, n in enumerate(near.sum(1)))
 
 
+def test_op8_number_of_sequences():
+    """As few bins as an exact search finds, for small cases; never more than one above the bound for many items."""
+    random.seed(9)
+
+    def fewest(items, capacity):
+        best = len(items)
+
+        def place(k, bins):
+            nonlocal best
+            if len(bins) >= best:
+                return
+            if k == len(items):
+                best = len(bins)
+                return
+            for i in range(len(bins)):
+                if bins[i] + items[k] <= capacity and bins[i] not in bins[:i]:
+                    bins[i] += items[k]
+                    place(k + 1, bins)
+                    bins[i] -= items[k]
+            place(k + 1, [*bins, items[k]])
+
+        place(0, [])
+        return best
+
+    total = {0: 0, 1: 0}
+    for _ in range(150):
+        items = sorted((random.randint(1, 30) for _ in range(random.randint(1, 9))), reverse=True)
+        got = sum(n for _, n, _ in pack_counts({v: items.count(v) for v in items}, 30))
+        total[got - fewest(items, 30)] += 1  # a KeyError if it takes two more
+    assert total[0] > 140
+    many = {random.randint(1, 2048): random.randint(1, 40) for _ in range(600)}
+    assert sum(n for _, n, _ in pack_counts(many)) <= 1.02 * max(sum(k * v for k, v in many.items()) / 2048, sum(v for k, v in many.items() if k > 1024))
+
+
+def test_pipeline_edges(spark, sf_dir, edge, none):
+    """Null ids, repeated rows, empty and long texts, clashing columns, no rows: each stage keeps the columns and the clean rows."""
+    import corpus_pipeline as cp
+
+    rows = lambda x: sorted(map(str, x.collect()))
+    for name, stage in cp.STAGES[:-1]:
+        got = stage(spark, edge, sf_dir)
+        assert got.schema == edge.schema and rows(got) == rows(edge), name
+        assert stage(spark, none, sf_dir).columns == none.columns and stage(spark, none, sf_dir).count() == 0
+    twice = edge.unionByName(edge).unionByName(spark.createDataFrame([(9, EDGE[0][1].upper(), "", "", 0, 0)], DOCS))
+    assert rows(cp.near_dedup(spark, twice, sf_dir)) == rows(edge.unionByName(edge))
+    packed_ = cp.packing(spark, edge, sf_dir).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed_}) == len(packed_) > len(EDGE) and cp.packing(spark, none, sf_dir).count() == 0
+
+
+def test_op7_cosine_by_brute_force(spark):
+    """Each part's best template is that of the largest cosine, term by term; licences come from the nearest directory."""
+    import math
+
+    from framesift.llm.licenses import TEMPLATES, Matcher, terms
+
+    counts = {"the": 90, "license": 20, "software": 30, "mit": 2, "apache": 3}
+    m = Matcher(100, counts)
+    vector = lambda t: {w: (1 + math.log(c)) * math.log(102 / (1 + counts.get(w, 0))) for w, c in terms(t).items()}
+    size = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    for t in [*TEMPLATES.values(), "the software is under the apache license", "mit license the the software", "nothing of it"]:
+        v = vector(t)
+        want = max((sum(x * vector(u).get(w, 0.0) for w, x in v.items()) / (size(v) * size(vector(u))), name) for name, u in TEMPLATES.items())
+        score, name = m.best(terms(t))
+        assert abs(score - want[0]) < 1e-9 and (name == want[1] or abs(score) < 1e-9 or abs(score - want[0]) < 1e-9)
+    random.seed(3)
+    paths = ["/".join(random.choice("abc") for _ in range(random.randint(0, 4))) for _ in range(150)]
+    rows = [(k, f"{p}/f{k}" if p else f"f{k}", random.choice(["MIT", "GPL-3.0"]) if (lic := random.random() < 0.15) else None, random.choice([0.7, 0.9]) if lic else 0.0, lic) for k, p in enumerate(paths)]
+    own: dict = {}
+    for k, path, name, score, lic in rows:
+        if lic:
+            d = path.rpartition("/")[0]
+            own[d] = min(own.get(d, (0.0, "", "")), (-score, path, name)) if d in own else (-score, path, name)
+    got = {r.doc_id: (r.inherited_license, r.inherited_from) for r in inherited(spark.createDataFrame(rows, "doc_id bigint, path string, license string, score double, is_license_file boolean")).collect()}
+    for k, path, *_ in rows:
+        at = path.rpartition("/")[0].split("/") if "/" in path else []
+        above = next((d for n in range(len(at), -1, -1) if (d := "/".join(at[:n])) in own), None)
+        assert got[k] == ((own[above][2], above) if above is not None else (None, None))
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline as cp
 
