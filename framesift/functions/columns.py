@@ -75,6 +75,13 @@ def stem(path: Column) -> Column:
     return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
 
 
+def name_key(path: Column, by: str = "stem") -> Column:
+    """What names are matched by: the stem, or (by="name") the stem and the suffix in lower case."""
+    if by not in ("stem", "name"):
+        raise ValueError(f"by: stem or name, not {by}")
+    return stem(path) if by == "stem" else F.concat(stem(path), suffix(path))
+
+
 def suffix(path: Column) -> Column:
     """The last .ext of a name, in lower case; empty if there is none."""
     return F.lower(F.regexp_extract(F.regexp_extract(path, r"[^/\\]*$", 0), r"(?<=.)(\.[^.]*)$", 1))

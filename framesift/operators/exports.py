@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from framesift.functions.columns import family_codes, tags_or_empty
+from framesift.functions.columns import family_codes, suffix, tags_or_empty
 from framesift.functions.grammar import AttributeClasses
+from framesift.sources.payloads import shape_documents
+from framesift.sources.textformats import parse_yolo_sized, yolo_lines
 
 
 def require_tags(samples: DataFrame, wanted: list[str]) -> None:
@@ -63,6 +65,43 @@ def inspected(labelled: DataFrame) -> DataFrame:
     return one.crossJoin(classes)
 
 
+def label_files(labelled: DataFrame, classes: list[str], stem: Column) -> DataFrame:
+    """(target, text): the label file of each sample(kept array<struct<label, box>>), class ids by place in classes; empty
+    for samples without boxes. Labels that classes lack are an error of the caller: their boxes are left out."""
+    ids = F.create_map(*[F.lit(v) for k, c in enumerate(classes) for v in (c, k)])
+    dets = F.filter(F.transform("kept", lambda d: F.struct(F.try_element_at(ids, d["label"]).alias("class_id"), d["box"].alias("box"))), lambda d: d["class_id"].isNotNull())
+    return labelled.select(F.concat(F.lit("labels/"), stem, F.lit(".txt")).alias("target"), yolo_lines(dets).alias("text"))
+
+
+def image_copies(samples: DataFrame, stem: Column) -> DataFrame:
+    """(target, source): the image of each sample(filepath) under a name of its own."""
+    return samples.select(F.concat(F.lit("images/"), stem, suffix(F.col("filepath"))).alias("target"), F.col("filepath").alias("source"))
+
+
+def manifest(written: DataFrame) -> DataFrame:
+    """(sample_id, relpath, sha256, shapes) of what shape_export() writes, to be a report beside it."""
+    return written.select("sample_id", "relpath", F.coalesce("sha256", F.lit("")).alias("sha256"), F.coalesce(F.size("dets"), F.lit(0)).cast("bigint").alias("shapes"))
+
+
+def converted(labels: DataFrame, images: DataFrame, classes: list[str]) -> DataFrame:
+    """labels(stem, text), images(stem, path, width, height) to (stem, target, text, issue): a shape file for each image.
+
+    Images without a label file and label files without an image are missing_label and missing_image; a label file with
+    a bad line (strict: see parse_yolo()) is parse_error. A blank label file gives a shape file without shapes.
+    """
+    sized = labels.join(images, "stem")
+    lines = sized.select("stem", "text", "width", "height")
+    boxes = parse_yolo_sized(lines, "stem", len(classes))
+    names = F.array(*[F.lit(c) for c in classes])
+    one = boxes.groupBy("stem").agg(F.max("parse_error").alias("bad"), F.transform(F.array_sort(F.collect_list(F.struct("line", "class_id", "box"))), lambda b: F.struct(F.get(names, b["class_id"]).alias("label"), b["box"].alias("box"))).alias("dets"))
+    x = labels.select("stem", "text").join(images, "stem", "full").join(one, "stem", "left")
+    issue = F.when(F.col("path").isNull(), "missing_image").when(F.col("text").isNull(), "missing_label").when(F.col("bad"), "parse_error")
+    x = x.withColumn("issue", issue)
+    docs = shape_documents(x.where("issue is null").select(F.lit(None).cast("string").alias("sample_id"), "path", "width", "height", F.coalesce("dets", F.array().cast(one.schema["dets"].dataType)).alias("dets")))
+    x = x.select("stem", "issue", F.regexp_replace("path", r"\.[^./]+$", ".json").alias("target"))
+    return x.join(docs, "target", "left").select("stem", "target", "text", "issue")
+
+
 def status_counts(rows: DataFrame, *by: str) -> DataFrame:
     """Rows by status, issue or whatever by names."""
     return rows.groupBy(*by).agg(F.count("*").alias("n"))

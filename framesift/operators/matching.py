@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framesift.functions.columns import stem, suffix
+from framesift.functions.columns import name_key, stem, suffix
 
 
 def gate(candidates: DataFrame, samples: DataFrame) -> DataFrame:
@@ -70,11 +70,38 @@ def rows_by_stem(rows: DataFrame, images: DataFrame, keep: bool) -> DataFrame:
     return rows.select(stem(F.col("path")).alias("stem")).join(images.select(stem(F.col("path")).alias("stem")), "stem", "left_semi" if keep else "left_anti")
 
 
-def extraction_plan(sources: DataFrame, names: DataFrame) -> DataFrame:
-    """For each wanted stem: copy, collision (several sources for one destination) or missing."""
-    n = names.select(stem(F.col("path")).alias("stem")).distinct()
-    c = sources.groupBy(stem(F.col("path")).alias("stem")).agg(F.count("*").alias("k"))
-    return n.join(c, "stem", "left").select("stem", F.when(F.col("k").isNull(), "missing").when(F.col("k") > 1, "collision").otherwise("copy").alias("status"))
+def extraction_plan(sources: DataFrame, names: DataFrame, by: str = "stem", out: str = "", existing: DataFrame | None = None) -> DataFrame:
+    """For each wanted name: copy, collision (several sources for one destination) or missing.
+
+    out, existing(path): where files go, and what is there; a source whose destination out/name is taken is skipped.
+    """
+    n = names.select(name_key(F.col("path"), by).alias("stem")).distinct()
+    c = sources.groupBy(name_key(F.col("path"), by).alias("stem")).agg(F.count("*").alias("k"), F.min("path").alias("source"))
+    status = F.when(F.col("k").isNull(), "missing").when(F.col("k") > 1, "collision")
+    if existing is None:
+        return n.join(c, "stem", "left").select("stem", status.otherwise("copy").alias("status"))
+    x = n.join(c, "stem", "left").withColumn("dest", F.concat(F.lit(out.rstrip("/") + "/"), F.regexp_extract("source", r"[^/\\]*$", 0)))
+    x = x.join(existing.select(F.col("path").alias("dest"), F.lit(True).alias("taken")).distinct(), "dest", "left")
+    return x.select("stem", status.when(F.col("taken"), "skipped").otherwise("copy").alias("status"))
+
+
+def leaf_plan(images: DataFrame, labels: DataFrame, samples: DataFrame) -> DataFrame:
+    """images(path), labels(path), samples(filepath) to (path, label, status) for each image: new, known, stem_collision.
+
+    Images that samples have are known. Of images with one stem none is imported. label is the label file of the stem (the
+    last by path), null for an unlabelled image.
+    """
+    same = images.groupBy(stem(F.col("path")).alias("stem")).agg(F.count("*").alias("same"))
+    found = labels.groupBy(stem(F.col("path")).alias("stem")).agg(F.max("path").alias("label"))
+    known = samples.select(F.col("filepath").alias("path"), F.lit(True).alias("known")).distinct()
+    x = images.withColumn("stem", stem(F.col("path"))).join(same, "stem").join(found, "stem", "left").join(known, "path", "left")
+    return x.select("path", "label", F.when(F.col("same") > 1, "stem_collision").when(F.col("known"), "known").otherwise("new").alias("status"))
+
+
+def import_counts(planned: DataFrame, orphans: DataFrame) -> DataFrame:
+    """One row on leaf_plan() and orphan_labels(): images, new, labelled, known, collisions, orphans."""
+    new = F.col("status") == "new"
+    return planned.agg(F.count("*").alias("images"), F.count_if(new).alias("new"), F.count_if(new & F.col("label").isNotNull()).alias("labelled"), F.count_if(F.col("status") == "known").alias("known"), F.count_if(F.col("status") == "stem_collision").alias("collisions")).crossJoin(orphans.agg(F.count("*").alias("orphans")))
 
 
 def attach(files: DataFrame, samples: DataFrame) -> DataFrame:

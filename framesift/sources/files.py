@@ -55,6 +55,31 @@ def listed_locally(spark: SparkSession, folder: str, suffixes: Sequence[str] = (
     return spark.createDataFrame(list(rows.values()), "path string, relative string, length bigint, is_link boolean")
 
 
+def scanned_folder(spark: SparkSession, folder: str, suffixes: Sequence[str] = IMAGES) -> tuple[DataFrame, int]:
+    """The files of one mounted folder, each real file once, and how many folders are in it (these are not entered)."""
+    return listed_locally(spark, folder, suffixes, recursive=False), len(split_names(folder))
+
+
+def split_folders(root: str, split: str) -> tuple[str, str | None]:
+    """The folders of images and of labels of a split; None where a split has no labels."""
+    images, labels = (os.path.join(root, kind, split) for kind in ("images", "labels"))
+    if not os.path.isdir(images):
+        raise FileNotFoundError(images)
+    return images, labels if os.path.isdir(labels) else None
+
+
+def task_files(files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The shape files and the images of a listing of a task's folder."""
+    return sidecar_files(files), files.where(suffix(F.col("path")).isin(*IMAGES))
+
+
+def first_files(files: DataFrame, limit: int | None = None) -> tuple[DataFrame, int, int]:
+    """The first files(path, length) in order of path, all without a limit; their number and bytes."""
+    x = files if limit is None else files.orderBy("path").limit(limit)
+    n, size = x.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return x, n, int(size)
+
+
 def split_names(folder: str) -> list[str]:
     """The names of the folders in a folder, sorted."""
     with os.scandir(folder) as entries:
@@ -198,6 +223,32 @@ def write_report(rows: DataFrame, path: str, order: Sequence[str]) -> bool:
     return True
 
 
+def rewrite_table(spark: SparkSession, path: str, change) -> int:
+    """Puts change(rows) in place of a table as text, one file: written beside it, with its separator, then moved. The rows left."""
+    with open(path, encoding="utf-8-sig") as f:
+        line = f.readline()
+    rows = change(read_table(spark, path))
+    temp = f"{path}.{uuid.uuid4().hex}.tmp"
+    try:
+        rows.coalesce(1).write.csv(temp, sep=max(SEPARATORS, key=line.count), header=True)
+        part = next((e.path for e in os.scandir(temp) if e.name.endswith(".csv")), None)
+        left = spark.read.csv(temp, header=True, schema=rows.schema, sep=max(SEPARATORS, key=line.count)).count()
+        if part is None:  # no rows: the header alone
+            with open(path, "w", encoding="utf-8") as f:
+                f.write(line)
+        else:
+            os.replace(part, path)
+    finally:
+        shutil.rmtree(temp, ignore_errors=True)
+    return left
+
+
+def require_new(path: str) -> None:
+    """Refuses an output file that is there already, as a link too."""
+    if os.path.lexists(path):
+        raise FileExistsError(path)
+
+
 def require_empty(folder: str) -> None:
     """Refuses an output folder that is a link or holds anything."""
     if os.path.islink(folder) or os.path.isdir(folder) and os.listdir(folder):

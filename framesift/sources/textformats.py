@@ -9,15 +9,15 @@ from framesift.functions.columns import finite
 from framesift.functions.keypoints import face_box
 
 
-def parse_yolo(files: DataFrame, key: str, strict: tuple[int, int] | None = None, slack: float = 5.0, classes: int | None = None) -> DataFrame:
+def parse_yolo(files: DataFrame, key: str, strict: tuple[int | Column, int | Column] | None = None, slack: float = 5.0, classes: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """files(key, text) of lines "class cx cy w h" to (key, line, class_id, box, parse_error), a row for each line.
 
     One bad line makes the whole file an error: its rows have no class and box. Blank files give no rows (unlabelled).
     Numbers must be finite, sizes positive. Lenient: the class may be written as a number with a fraction of zero.
     strict=(width, height): the class is an integer literal, and a box at most slack pixels outside is clamped.
-    classes: the length of the class list; a class beyond it is an error.
+    classes: the length of the class list; a class beyond it is an error. keep: more columns of files to be kept.
     """
-    x = files.select(key, F.posexplode(F.split(F.col("text"), "\r?\n")).alias("line", "raw")).where("trim(raw) <> ''")
+    x = files.select(key, *keep, F.posexplode(F.split(F.col("text"), "\r?\n")).alias("line", "raw")).where("trim(raw) <> ''")
     p = F.split(F.trim(F.regexp_replace("raw", r"\s+", " ")), " ")
     num = F.transform(p, lambda v: v.try_cast("double"))
     x = x.withColumn("p", p).withColumn("n", num)
@@ -35,7 +35,13 @@ def parse_yolo(files: DataFrame, key: str, strict: tuple[int, int] | None = None
     bad = F.max(~F.col("ok")).over(Window.partitionBy(key))  # a file's lines: bounded by the file
     x = x.withColumn("parse_error", bad)
     good = ~F.col("parse_error")
-    return x.select(key, "line", F.when(good, cls).alias("class_id"), F.when(good, F.transform(box, lambda v: F.bround(v, 6))).alias("box"), "parse_error")
+    return x.select(key, *keep, "line", F.when(good, cls).alias("class_id"), F.when(good, F.transform(box, lambda v: F.bround(v, 6))).alias("box"), "parse_error")
+
+
+def parse_yolo_sized(files: DataFrame, key: str, classes: int, slack: float = 5.0) -> DataFrame:
+    """parse_yolo(strict) of files(key, text, width, height), each with its image's size."""
+    x = parse_yolo(files, key, strict=(F.col("width"), F.col("height")), slack=slack, classes=classes, keep=("width", "height"))
+    return x.drop("width", "height")
 
 
 def yolo_lines(dets: Column) -> Column:

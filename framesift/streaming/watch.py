@@ -4,20 +4,63 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framesift.functions.columns import lenient_bool
+from framesift.operators.exports import relative_path
+from framesift.sources.files import finished_files
 from framesift.sources.shared import shared_folder
+from framesift.sources.textformats import answer_json
 
 
 def watched(spark: SparkSession, folder: str, every: str | None = "30 seconds"):
     """A stream of the images that come up in a folder; every=None: what is there now, once."""
     x = spark.readStream.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    name = F.regexp_extract("path", "[^/]*$", 0)
-    x = x.where(~name.startswith(".") & ~name.rlike(r"\.(tmp|part|crdownload)$"))
+    x = finished_files(x).withColumn("relative", relative_path(F.regexp_replace("path", "^file:/*", "/"), folder))
     return x.writeStream.trigger(**({"processingTime": every} if every else {"availableNow": True}))
 
 
+def fitted_size(width: Column, height: Column, longest: int = 1024) -> Column:
+    """struct<width, height>: a size scaled down so that its longer side is at most longest; whole pixels, at least 1."""
+    scale = F.least(F.lit(1.0), F.try_divide(F.lit(float(longest)), F.greatest(width, height)))
+    side = lambda v: F.greatest(F.lit(1), F.floor(v * scale)).cast("int")
+    return F.struct(side(width).alias("width"), side(height).alias("height"))
+
+
+def call_payload(prompt: str, image: Column, model: str) -> Column:
+    """The JSON body of a chat call about one image, given as bytes of a JPEG file."""
+    url = F.concat(F.lit("data:image/jpeg;base64,"), F.base64(image))
+    content = F.array(F.struct(F.lit("text").alias("type"), F.lit(prompt).alias("text"), F.lit(None).cast("struct<url:string>").alias("image_url")), F.struct(F.lit("image_url").alias("type"), F.lit(None).cast("string").alias("text"), F.struct(url.alias("url")).alias("image_url")))
+    return F.to_json(F.struct(F.lit(model).alias("model"), F.array(F.struct(F.lit("user").alias("role"), content.alias("content"))).alias("messages")))
+
+
+def streamed_answer(lines: Column) -> Column:
+    """The text of an answer that came as lines "data: {...}" of choices with deltas, up to [DONE]."""
+    data = F.filter(F.transform(lines, lambda v: F.regexp_extract(v, r"^data:\s*(.*)$", 1)), lambda v: (v != "") & (v != "[DONE]"))
+    parts = F.transform(data, lambda v: F.coalesce(F.get_json_object(v, "$.choices[0].delta.content"), F.lit("")))
+    return F.array_join(parts, "")
+
+
+def verdicts(answers: DataFrame, key: str) -> DataFrame:
+    """answers(path, answer) with value, the boolean of a key in the answer's JSON, and status: ok, or fail without one."""
+    value = lenient_bool(F.get_json_object(answer_json(F.col("answer"), key), f"$.{key}"))
+    return answers.withColumn("value", value).withColumn("status", F.when(F.col("value").isNull(), "fail").otherwise("ok"))
+
+
+def mirrored(results: DataFrame, root: str, out: str, key: str) -> DataFrame:
+    """results(path, status, value) of files below root to (target, text): a JSON file for each ok one, at the same place below out."""
+    relative = relative_path(F.col("path"), root)
+    name = F.concat(F.lit(out.rstrip("/") + "/"), F.regexp_replace(relative, r"\.[^./]+$", ""), F.lit(".json"))
+    return results.where("status = 'ok'").select(name.alias("target"), F.to_json(F.struct(relative.alias("path"), F.col("value").alias(key))).alias("text"))
+
+
+def unfinished(work: DataFrame, outputs: DataFrame, empty_is_done: bool = False) -> DataFrame:
+    """work(path, target) whose output is not complete: outputs(target, length) lacks it, or has it empty."""
+    done = outputs if empty_is_done else outputs.where("length > 0")
+    return work.join(done.select("target").distinct(), "target", "left_anti").select(*work.columns)
+
+
 def score_new(batch: DataFrame, done: DataFrame, score) -> DataFrame:
     """Rows of a batch without a finished result, scored; those that fail keep status fail and come again."""
     return score(batch.join(done.where("status = 'ok'").select("path"), "path", "left_anti"))
