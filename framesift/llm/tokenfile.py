@@ -34,10 +34,10 @@ HASH_BITS = 11  # of the table of each order
 WEIGHT_BITS = 12  # weights add up to 4096
 MOST_NAMES = 1 << 18  # different ids of a segment, from whatever vocabulary
 _TOP, _BOT = np.uint64(1 << 48), np.uint64(1 << 32)
-_16, _48, _LOW32 = np.uint64(16), np.uint64(48), np.uint64(0xFFFFFFFF)
+_FOUR, _16, _48, _LOW32 = np.uint64(4), np.uint64(16), np.uint64(48), np.uint64(0xFFFFFFFF)
 _ONE, _TWO, _THREE = np.uint32(1), np.uint32(2), np.uint32(3)
-# the weights of orders 2 and 1, of 4096, move by 1/32 to these, by which was right; the rest is that of order 0
-_GOAL = np.array([[4000, 32, 32], [32, 4000, 32]], dtype=np.int32)
+# the weights of orders 2 and 1, of 4096, move by 1/32 to these, by which was right: none, 1, 2, both; the rest is order 0's
+_GOAL = np.array([[32, 32, 4000, 4000], [32, 4000, 32, 32]], dtype=np.int32)
 
 
 class Order0:
@@ -107,10 +107,13 @@ class Models:
 
     def learn(self, k: int, x: np.ndarray, right: np.ndarray, seen) -> None:
         i, c, sure, row, weights = seen
-        kind = np.where(right[0], 0, np.where(right[1], 1, 2))
         self.cells[i] = np.where(right, c + (sure < _THREE), (x << _TWO) | _ONE)
+        which = right.view(np.uint8)
+        goal = _GOAL.take((which[0] << 1) | which[1], axis=1)
         p = weights.view(np.int32)
-        p += (_GOAL.take(kind, axis=1) - p) >> 5
+        goal -= p
+        goal >>= 5
+        p += goal
         self.mix[row] = weights[0] | weights[1] << np.uint32(16)
         self.before[:k] = self.last[:k]
         self.last[:k] = x
@@ -144,13 +147,18 @@ def _at(order0: Order0, v: np.ndarray, told: np.ndarray, weights: np.ndarray, re
 
 def _due(low: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Whether a digit is due; sizes that got too small at a digit's edge are cut to it."""
-    settled = (low ^ (low + size)) < _TOP
+    due = (low ^ (low + size)) < _TOP
     small = size < _BOT
-    cut = np.flatnonzero(small & ~settled)
-    if len(cut):
+    if small.any():
+        cut = np.flatnonzero(small & ~due)
         size[cut] = (np.uint64(0) - low[cut]) & _LOW32
-    small |= settled
-    return small
+        due |= small
+    return due
+
+
+def _alive(lengths: np.ndarray, longest: int) -> list[int]:
+    """For each place up to the longest block's end, how many blocks have an id there: the first ones."""
+    return np.searchsorted(-lengths, -np.arange(longest), side="left").tolist()
 
 
 def encode_blocks(blocks: list[np.ndarray], order0: Order0) -> list[bytes]:
@@ -165,8 +173,7 @@ def encode_blocks(blocks: list[np.ndarray], order0: Order0) -> list[bytes]:
     width = 4 * longest + 8
     out, pos = np.zeros(n * width, dtype=np.uint16), np.arange(n, dtype=np.int64) * width
     scale = np.uint64(WEIGHT_BITS + order0.bits)
-    for t in range(longest):
-        k = int(np.searchsorted(-lengths, -t, side="left"))  # blocks that have an id t
+    for t, k in enumerate(_alive(lengths, longest)):
         x = ids[t, :k]
         told, weights, rest, seen = m.predict(k)
         start, length, right = _interval(order0, x, told, weights, rest)
@@ -176,24 +183,19 @@ def encode_blocks(blocks: list[np.ndarray], order0: Order0) -> list[bytes]:
         lo += sz * start
         sz *= length
         due = _due(lo, sz)  # for all blocks at once: where no digit is due, the next one takes its place
-        out[pos[:k]] = lo >> _48
-        pos[:k] += due
-        shift = due * _16
+        out[pos[:k]] = (lo >> _48).astype(np.uint16)
+        shift = due.astype(np.uint64)
+        pos[:k] += shift.view(np.int64)
+        shift <<= _FOUR
         lo <<= shift
         sz <<= shift
-        j = np.flatnonzero(due)
-        l, s = lo[j], sz[j]
-        while True:
-            again = _due(l, s)
-            sz[j] = s
-            if not again.any():
-                break
-            j, l, s = j[again], l[again], s[again]
+        while (small := sz < _BOT).any():  # unlikely ids; a digit that is due with a size large enough can wait
+            j = np.flatnonzero(small)
+            l, s = lo[j], sz[j]
+            _due(l, s)
             out[pos[j]] = l >> _48
             pos[j] += 1
-            l <<= _16
-            s <<= _16
-            lo[j], sz[j] = l, s
+            lo[j], sz[j] = l << _16, s << _16
     for _ in range(4):
         out[pos] = low >> _48
         pos += 1
@@ -217,8 +219,7 @@ def decode_blocks(coded: list[bytes], lengths: list[int], order0: Order0) -> lis
         pos += 1
     scale = np.uint64(WEIGHT_BITS + order0.bits)
     most = np.uint64((1 << int(scale)) - 1)
-    for t in range(longest):
-        k = int(np.searchsorted(-count, -t, side="left"))
+    for t, k in enumerate(_alive(count, longest)):
         told, weights, rest, seen = m.predict(k)
         lo, sz, co = low[:k], size[:k], code[:k]
         sz >>= scale
@@ -230,25 +231,21 @@ def decode_blocks(coded: list[bytes], lengths: list[int], order0: Order0) -> lis
         lo += sz * start
         sz *= length
         due = _due(lo, sz)
-        shift = due * _16
+        shift = due.astype(np.uint64)
+        digits = words.take(pos[:k]) * shift
+        pos[:k] += shift.view(np.int64)
+        shift <<= _FOUR
         co <<= shift
-        co |= words.take(pos[:k]) * due
-        pos[:k] += due
+        co |= digits
         lo <<= shift
         sz <<= shift
-        j = np.flatnonzero(due)
-        l, s = lo[j], sz[j]
-        while True:
-            again = _due(l, s)
-            sz[j] = s
-            if not again.any():
-                break
-            j, l, s = j[again], l[again], s[again]
+        while (small := sz < _BOT).any():
+            j = np.flatnonzero(small)
+            l, s = lo[j], sz[j]
+            _due(l, s)
             co[j] = (co[j] << _16) | words[pos[j]]
             pos[j] += 1
-            l <<= _16
-            s <<= _16
-            lo[j], sz[j] = l, s
+            lo[j], sz[j] = l << _16, s << _16
     by_block = np.ascontiguousarray(ids.T)
     return [by_block[k, : lengths[k]] for k in range(n)]
 
