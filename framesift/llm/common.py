@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import atexit
 import itertools
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framesift.sources.shared import shared_folder
+
 _written: list[tuple[SparkSession, str]] = []
-_local: dict[str, str] = {}
 _count = itertools.count()
 
 
@@ -19,21 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; only where it is unset (tests) a local one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not folder:
-        folder = _local.setdefault("dir", tempfile.mkdtemp(prefix="framesift-"))
-    return folder.rstrip("/")
-
-
 def written(df: DataFrame, what: str) -> DataFrame:
     """df, cut from its lineage: written to the shared folder and read back, so that a lost executor costs no recomputation.
 
     The files are removed when the driver ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/framesift-{what}-{next(_count)}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/framesift-{what}-{next(_count)}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append((spark, path))
     return spark.read.schema(df.schema).parquet(path)
