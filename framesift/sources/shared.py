@@ -15,5 +15,5 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        folder = _own.setdefault("dir", _own.get("dir") or tempfile.mkdtemp(prefix="framesift-"))
+        folder = _own["dir"] if "dir" in _own else _own.setdefault("dir", tempfile.mkdtemp(prefix="framesift-"))
     return folder.rstrip("/")
