@@ -5,11 +5,12 @@ Groups are aggregated before they are joined back, so that a group of any size n
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from framesift.functions.columns import DUP_TAGS, tags_or_empty, with_managed
 from framesift.operators.similarity import clusters
+from framesift.sources.shared import numbered_within
 
 
 def keeper_rank() -> Column:
@@ -102,13 +103,8 @@ def delete_ids(planned: DataFrame) -> DataFrame:
 def report_shards(roles: DataFrame, per_shard: int = 200) -> DataFrame:
     """Report rows with the number of their shard: whole groups, per_shard of them, in order of group_id.
 
-    Group numbers come from a sort of the groups alone: range-partitioned, then numbered within partitions and offset,
-    so that no single task sorts them all.
+    Group numbers come from a sort of the groups alone, by ranges, so that no single task sorts them all.
     """
-    groups = roles.select("group_id").distinct()
-    parts = groups.repartitionByRange(F.col("group_id")).withColumn("part", F.spark_partition_id())
-    counts = parts.groupBy("part").count()
-    base = counts.withColumn("base", F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)))  # a row a partition
-    n = parts.withColumn("r", F.row_number().over(Window.partitionBy("part").orderBy("group_id"))).join(F.broadcast(base), "part")
-    n = n.select("group_id", F.floor((F.coalesce("base", F.lit(0)) + F.col("r") - 1) / per_shard).cast("bigint").alias("shard"))
+    n = numbered_within(roles.select("group_id").distinct(), [], ["group_id"], "n")
+    n = n.select("group_id", F.floor((F.col("n") - 1) / per_shard).cast("bigint").alias("shard"))
     return roles.join(n, "group_id").select("shard", "group_id", "sample_id", "role")

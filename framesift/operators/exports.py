@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from framesift.functions.columns import family_codes, suffix, tags_or_empty
 from framesift.functions.grammar import AttributeClasses
 from framesift.sources.payloads import shape_documents
+from framesift.sources.shared import numbered_within
 from framesift.sources.textformats import parse_yolo_sized, yolo_lines
 
 
@@ -196,16 +197,10 @@ def status_ranked(rows: DataFrame, order: list[str]) -> list[Column]:
 def numbered_tasks(items: DataFrame, group: str, key: str, size: int) -> DataFrame:
     """items with chunk (from 0) and task: chunks of size in order of a unique key within each group.
 
-    A task is named after its group, or group_1, group_2, ... where it has several chunks. Groups are numbered by ranges
-    of (group, key), so that one that holds most of the rows is numbered by many tasks.
+    A task is named after its group, or group_1, group_2, ... where it has several chunks.
     """
-    from pyspark.sql import Window
-
-    x = items.repartitionByRange(F.col(group), F.col(key)).withColumn("_part", F.spark_partition_id())
-    x = x.withColumn("_r", F.row_number().over(Window.partitionBy("_part", group).orderBy(key)))
-    parts = x.groupBy(group, "_part").agg(F.count("*").alias("_n"))  # a row for each group in a partition
-    before = Window.partitionBy(group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(group, "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"), F.sum("_n").over(Window.partitionBy(group)).alias("_all"))
-    x = x.join(parts, [group, "_part"]).withColumn("chunk", F.floor((F.col("_base") + F.col("_r") - 1) / size).cast("bigint"))
+    x = numbered_within(items, [group], [key], "_r")
+    x = x.join(items.groupBy(group).agg(F.count("*").alias("_all")), group)
+    x = x.withColumn("chunk", F.floor((F.col("_r") - 1) / size).cast("bigint"))
     name = F.when(F.col("_all") <= size, F.col(group)).otherwise(F.concat(F.col(group), F.lit("_"), (F.col("chunk") + 1).cast("string")))
-    return x.withColumn("task", name).drop("_part", "_r", "_base", "_all")
+    return x.withColumn("task", name).drop("_r", "_all")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framesift.functions.columns import name_key, stem, suffix
+from framesift.sources.shared import numbered_within
 
 
 def gate(candidates: DataFrame, samples: DataFrame) -> DataFrame:
@@ -47,10 +48,9 @@ def relink(samples: DataFrame, files: DataFrame) -> DataFrame:
 
 def rename_plan(files: DataFrame) -> DataFrame:
     """files(parent, name, sha256) with target: <parent>/<sha256>[-n]<ext>; the canonical name first, then by name."""
-    canonical = F.concat("sha256", suffix(F.col("name")))
-    w = Window.partitionBy("parent", "sha256", suffix(F.col("name"))).orderBy(F.col("name") != canonical, "name")
-    n = F.row_number().over(w)
-    return files.withColumn("n", n).withColumn("target", F.concat("parent", F.lit("/"), "sha256", F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise(""), suffix(F.col("name"))))
+    x = files.withColumn("_s", suffix(F.col("name"))).withColumn("_other", F.col("name") != F.concat("sha256", suffix(F.col("name"))))
+    x = numbered_within(x, ["parent", "sha256", "_s"], ["_other", "name"], "n")
+    return x.withColumn("target", F.concat("parent", F.lit("/"), "sha256", F.when(F.col("n") > 1, F.concat(F.lit("-"), F.col("n").cast("string"))).otherwise(""), "_s")).drop("_s", "_other")
 
 
 def pair_full(images: DataFrame, labels: DataFrame) -> DataFrame:

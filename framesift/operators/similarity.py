@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framesift.functions.columns import hash_bits, normal_hash
-from framesift.sources.shared import shared_folder
+from framesift.sources.shared import dropped_copy, shared_copy
 
 NARROW, PART = 7, 4096  # bits up to which blocks of bits are joined; numbers of a part
 
@@ -81,21 +79,6 @@ def clusters(samples: DataFrame, k: int = 0) -> DataFrame:
     return x.join(c.withColumnRenamed("id", "near_key"), "near_key", "left").select("sample_id", F.coalesce("root", "near_key").alias("near_key"))
 
 
-def shared_copy(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back."""
-    path = f"{shared_folder(df.sparkSession)}/framesift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def dropped_copy(df: DataFrame) -> None:
-    """Deletes the files behind what shared_copy() has returned, when nothing reads them any more."""
-    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
-
-
 def components(edges: DataFrame) -> DataFrame:
     """edges(a, b) to (id, root): the smallest id reachable (of any type with an order). Large-star and small-star rounds until nothing changes."""
     e = shared_copy(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).where("u < v").distinct())

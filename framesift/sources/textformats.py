@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from framesift.functions.columns import finite
 from framesift.functions.keypoints import face_box
+from framesift.sources.shared import numbered_within
 
 
 def parse_yolo(files: DataFrame, key: str, strict: tuple[int | Column, int | Column] | None = None, slack: float = 5.0, classes: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -133,7 +134,4 @@ def export_stem(present: Column, classes: list[str], n: Column) -> Column:
 
 def dense_ids(rows: DataFrame, key: str, name: str) -> DataFrame:
     """rows with ids 1, 2, ... in order of a unique key: numbered within ranges of the key, and offset by the ranges before."""
-    x = rows.repartitionByRange(F.col(key)).withColumn("_part", F.spark_partition_id())
-    base = x.groupBy("_part").count().withColumn("_base", F.coalesce(F.sum("count").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("count")
-    x = x.join(F.broadcast(base), "_part").withColumn(name, F.row_number().over(Window.partitionBy("_part").orderBy(key)) + F.col("_base"))
-    return x.drop("_part", "_base")
+    return numbered_within(rows, [], [key], name)
