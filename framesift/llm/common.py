@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import itertools
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,3 +75,22 @@ def kept_in_process(what: str, key, make):
     if known.get(what, (None,))[0] != key:
         known[what] = (key, make())
     return known[what][1]
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
+    """The groups of rows with equal first n columns (whole numbers), of batches sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(n)], axis=1)
+        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
+        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            if held and (k or last != tuple(keys[a])):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = tuple(keys[a])
+    if held:
+        yield pa.Table.from_batches(held)

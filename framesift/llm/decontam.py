@@ -127,4 +127,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents against all benchmark items: see leaks()."""
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -217,5 +217,6 @@ def inherited(scan: DataFrame) -> DataFrame:
 
 
 def op7_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licenses of all documents, at paths of source, lang and doc_id: see scanned() and inherited()."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
     return inherited(written(scanned(docs), "licenses"))

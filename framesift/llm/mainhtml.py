@@ -269,4 +269,5 @@ def extracted(pages: DataFrame) -> DataFrame:
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url, text, n_chars of all pages: see extracted()."""
     return extracted(table(spark, sf_dir, "pages"))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm.common import drop_written, table, written
+from framesift.llm.common import drop_written, sorted_groups, table, written
 from framesift.llm.components import connected_components
 from framesift.llm.wordsets import sets_and_words, shingle_sets
 
@@ -134,25 +134,6 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return _tested(_parts(pairs, texts, "text"), decoded, alike)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The groups of rows with equal (bucket, i, j), of batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            if held and (k or last != tuple(keys[x])):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(x, y - x))
-            last = tuple(keys[x])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _spanning(pairs: Iterator[tuple[int, np.ndarray]], a: np.ndarray, c: np.ndarray, texts: pa.ChunkedArray) -> list[tuple[int, int]]:
     """Of pairs (row, rows) those links (a, a) of similar whole sets that connect components c not connected yet."""
     num, den = SIMILAR
@@ -214,7 +195,7 @@ def _between(placed: DataFrame, sigs: DataFrame, docs: DataFrame | None) -> Data
                         yield p + r, at
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches):
+        for g in sorted_groups(batches, 3):
             c = g.column(6).to_numpy()
             if c.min() == c.max():
                 continue
@@ -292,4 +273,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of all documents: see near_duplicates()."""
     return near_duplicates(table(spark, sf_dir, "documents"))

@@ -184,6 +184,7 @@ def packed(items: DataFrame, capacity: int = CAPACITY, buckets: int = BUCKETS) -
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of all pieces of all documents under byte_bpe_50k.json: see pieces() and packed()."""
     import public_tokenizers
 
     items = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

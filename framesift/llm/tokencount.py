@@ -204,6 +204,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = LIMIT) -> DataFr
 
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of all documents under piece_bpe_32k.model: see token_counts()."""
     import public_tokenizers
 
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -352,6 +352,7 @@ def read_back(files: DataFrame) -> DataFrame:
 
 
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents under word_bpe_49k.json, written to files and read back: see segments() and read_back()."""
     import public_tokenizers
 
     return read_back(written(segments(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2), "tokens"))

@@ -176,5 +176,6 @@ def not_toxic(docs: DataFrame, model: dict) -> DataFrame:
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents scored by a model of those that are not held out: see train() and scored()."""
     docs = table(spark, sf_dir, "documents")
     return scored(docs, train(docs, table(spark, sf_dir, "labels")))

@@ -112,6 +112,7 @@ def page_outcomes(labels: DataFrame) -> DataFrame:
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the url of all pages: see judged()."""
     return judged(table(spark, sf_dir, "pages"), page_outcomes(table(spark, sf_dir, "labels")))
 
 

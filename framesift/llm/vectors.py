@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from framesift.llm.common import drop_written, table, written
+from framesift.llm.common import drop_written, sorted_groups, table, written
 from framesift.llm.components import connected_components
 
 SIMILAR = 0.95
@@ -182,25 +182,6 @@ def searched(x: np.ndarray, near: list[np.ndarray], wider: int = 1) -> tuple[np.
     return np.concatenate(one), np.concatenate(other)
 
 
-def _groups(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.Table]:
-    """The groups of rows with equal first n columns, of batches sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(n)], axis=1)
-        cuts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
-        for k, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-            if held and (k or last != tuple(keys[a])):
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = tuple(keys[a])
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _matrix(column) -> np.ndarray:
     data = column.to_pylist()
     return np.frombuffer(b"".join(data), dtype=np.float64).reshape(len(data), -1)
@@ -216,7 +197,7 @@ def _split(cells: DataFrame, sizes: DataFrame, overlap: int, level: int) -> Data
     chosen = x.where(F.pmod("h", F.lit(1_000_000_007)).cast("double") * F.col("n") < float(SAMPLE) * 1_000_000_007)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, 1):
+        for g in sorted_groups(batches, 1):
             k = min(CHILDREN, -(-g.column(1)[0].as_py() // SHARD), g.num_rows)
             yield pa.RecordBatch.from_arrays([pa.array([g.column(0)[0].as_py()]), pa.array([centroids_of(_matrix(g.column(2)), k).tobytes()], pa.binary())], names=["cell", "centroids"])
 
@@ -280,7 +261,7 @@ def graph(groups: DataFrame, wider: int = 1) -> DataFrame:
     """The union of the blocks' adjacency lists: (vec_id, near), with at most BLOCK neighbours from a shard."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, 2):
+        for g in sorted_groups(batches, 2):
             ids = g.column(2).to_numpy()
             near = pruned_graph(_matrix(g.column(3)), wider)
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array([ids[v] for v in near], pa.list_(pa.int64()))], names=["vec_id", "near"])
@@ -294,7 +275,7 @@ def links(groups: DataFrame, adjacency: DataFrame, wider: int = 1) -> DataFrame:
     """(vec_id, other, n): the links that each group adds to a vector, weighted, and the smallest vector it is connected with there."""
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for g in _groups(batches, 3):
+        for g in sorted_groups(batches, 3):
             shard, two = g.column(0)[0].as_py(), g.column(1)[0].as_py() != g.column(2)[0].as_py()
             own, ids, weight = (g.column(k).to_numpy() for k in (3, 5, 6))
             x = _matrix(g.column(7))
@@ -419,4 +400,5 @@ def near_vectors(embeddings: DataFrame) -> DataFrame:
 
 
 def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates of all embeddings: see near_vectors()."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
