@@ -17,20 +17,24 @@ from framesift.llm.toxicity import not_toxic, train
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text scores under the threshold, by a model learned from those of docs that labels names."""
     return not_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of one document of each group of near-duplicates, that with the smallest doc_id."""
     copies = near_duplicates(docs).where("not kept").select("doc_id").distinct()
     return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows of documents that hold no passage of benchmark."""
     leaky = leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(leaky, "doc_id", "left_anti").select(*docs.columns)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Places of all pieces of docs in sequences: one row a piece."""
     import public_tokenizers
 
     return packed(written(pieces(docs, public_tokenizers.path("byte_bpe_50k.json")), "pieces"))
@@ -41,6 +45,7 @@ ORACLE_SQL = None  # learned scores and a tokenizer are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on documents, each on what the one before has written."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
