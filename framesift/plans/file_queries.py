@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from framesift.functions import columns as C
@@ -9,6 +11,7 @@ from framesift.operators import exports, matching
 from framesift.plans.registry import query
 from framesift.plans.standins import table
 from framesift.sources import files as S
+from framesift.sources.shared import shared_folder
 from framesift.streaming import watch
 
 _LEAF = """i as (select page_id, '/i/' || (case when page_id % 10 = 0 then 'twin' || (page_id // 20) else 'img' || page_id end) || (case when page_id % 20 = 0 then '.png' else '.jpg' end) as path, case when page_id % 10 = 0 then 'twin' || (page_id // 20) else 'img' || page_id end as stem from pages),
@@ -119,3 +122,16 @@ def task_file_kinds(spark, d):
 def name_keys(spark, d):
     path = F.concat(F.lit("/a.b/"), "source", F.lit(".tar.GZ"))
     return table(spark, d, "documents").select("doc_id", C.name_key(path).alias("stem"), C.name_key(path, "name").alias("name"))
+
+
+@query("watch_loop", "select event_id::varchar as path, case when k % 5 = 0 then 'fail' else 'ok' end as status, case when k % 5 <> 0 then k * 2 end as value from (select event_id, (props::json->>'k')::int as k from events)")
+def watch_loop(spark, d):
+    """The whole loop over what is there now: rows are scored, failures tried again, the last result of each kept."""
+    schema = spark.read.parquet(f"{d}/events.parquet").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    stream = stream.select(F.col("event_id").cast("string").alias("path"), F.get_json_object("props", "$.k").cast("int").alias("k"))
+    place = f"{shared_folder(spark)}/framesift-watch-{uuid.uuid4().hex}"
+    failed = F.col("k") % 5 == 0
+    score = lambda rows: rows.select("path", F.when(failed, "fail").otherwise("ok").alias("status"), F.when(~failed, F.col("k") * 2).alias("value"))
+    watch.keep_scored(stream, score, f"{place}/results", f"{place}/checkpoint", every=None).awaitTermination()
+    return watch.latest_results(spark, f"{place}/results")
